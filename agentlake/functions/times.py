@@ -45,7 +45,7 @@ def jwt_exp(token: Column) -> Column:
     claims = F.try_parse_json(F.decode(F.try_to_binary(F.concat(body, pad), F.lit("base64")), "UTF-8"))
     exp = V.path(claims, "$.exp")
     return F.when(
-        (V.kind(claims) == "object") & (V.kind(exp) != "null"), F.try_variant_get(claims, "$.exp", "double")
+        (V.is_kind(claims, "object")) & ~V.is_kind(exp, "null"), F.try_variant_get(claims, "$.exp", "double")
     )
 
 

@@ -21,6 +21,15 @@ def kind(v: Column) -> Column:
     )
 
 
+# How the schema text of a variant starts for each kind.
+_SCHEMA_HEAD = {"object": "OBJECT<", "array": "ARRAY<", "string": "STRING", "integer": "BIGINT", "boolean": "BOOLEAN", "null": "VOID"}
+
+
+def is_kind(v: Column, k: str) -> Column:
+    """Test of one kind; SQL null for a missing value."""
+    return F.schema_of_variant(v).startswith(_SCHEMA_HEAD[k])
+
+
 def path(v: Column, p: str) -> Column:
     """Variant at a path, SQL null when missing."""
     return F.try_variant_get(v, p, "variant")
@@ -29,18 +38,18 @@ def path(v: Column, p: str) -> Column:
 def text_at(v: Column, p: str) -> Column:
     """String value at a path; any other type is null."""
     x = path(v, p)
-    return F.when(kind(x) == "string", F.try_variant_get(v, p, "string"))
+    return F.when(is_kind(x, "string"), F.try_variant_get(v, p, "string"))
 
 
 def count_at(v: Column, p: str) -> Column:
     """Non-boolean integer at a path; any other type is null."""
     x = path(v, p)
-    return F.when(kind(x) == "integer", F.try_variant_get(v, p, "bigint"))
+    return F.when(is_kind(x, "integer"), F.try_variant_get(v, p, "bigint"))
 
 
 def items(v: Column) -> Column:
     """Variant array as ARRAY<VARIANT>, null when it is not an array."""
-    return F.when(kind(v) == "array", F.try_variant_get(v, "$", "array<variant>"))
+    return F.when(is_kind(v, "array"), F.try_variant_get(v, "$", "array<variant>"))
 
 
 def json_text(v: Column) -> Column:
@@ -52,8 +61,8 @@ def record_text(content: Column) -> Column:
     blocks = F.filter(items(content), lambda b: text_at(b, "$.type") == "text")
     joined = F.array_join(F.transform(blocks, lambda b: F.coalesce(text_at(b, "$.text"), F.lit(""))), "\n")
     return (
-        F.when(kind(content) == "string", F.try_variant_get(content, "$", "string"))
-        .when(kind(content) == "array", joined)
+        F.when(is_kind(content, "string"), F.try_variant_get(content, "$", "string"))
+        .when(is_kind(content, "array"), joined)
         .otherwise("")
     )
 
@@ -61,14 +70,14 @@ def record_text(content: Column) -> Column:
 def codex_text(v: Column) -> Column:
     """Every object with a string ``text`` plus bare strings, joined."""
     def piece(b: Column) -> Column:
-        return F.when(kind(b) == "object", text_at(b, "$.text")).when(
-            kind(b) == "string", F.try_variant_get(b, "$", "string")
+        return F.when(is_kind(b, "object"), text_at(b, "$.text")).when(
+            is_kind(b, "string"), F.try_variant_get(b, "$", "string")
         )
 
     parts = F.filter(F.transform(items(v), piece), lambda x: x.isNotNull())
     return (
-        F.when(kind(v) == "string", F.try_variant_get(v, "$", "string"))
-        .when(kind(v) == "array", F.array_join(parts, "\n"))
+        F.when(is_kind(v, "string"), F.try_variant_get(v, "$", "string"))
+        .when(is_kind(v, "array"), F.array_join(parts, "\n"))
         .otherwise("")
     )
 
@@ -76,11 +85,11 @@ def codex_text(v: Column) -> Column:
 def cursor_text(v: Column) -> Column:
     """Only objects with a string ``text``."""
     parts = F.filter(
-        F.transform(items(v), lambda b: F.when(kind(b) == "object", text_at(b, "$.text"))), lambda x: x.isNotNull()
+        F.transform(items(v), lambda b: F.when(is_kind(b, "object"), text_at(b, "$.text"))), lambda x: x.isNotNull()
     )
     return (
-        F.when(kind(v) == "string", F.try_variant_get(v, "$", "string"))
-        .when(kind(v) == "array", F.array_join(parts, "\n"))
+        F.when(is_kind(v, "string"), F.try_variant_get(v, "$", "string"))
+        .when(is_kind(v, "array"), F.array_join(parts, "\n"))
         .otherwise("")
     )
 
@@ -99,10 +108,10 @@ def tool_input(payload: Column) -> Column:
     empty = F.parse_json(F.lit("{}"))
     wrapped_text = F.to_variant_object(F.named_struct(F.lit("input"), text))
     return (
-        F.when(kind(raw) == "object", raw)
-        .when((kind(raw) == "string") & (kind(parsed) == "object"), parsed)
-        .when((kind(raw) == "string") & parsed.isNotNull(), _as_input(parsed))
-        .when(kind(raw) == "string", wrapped_text)
+        F.when(is_kind(raw, "object"), raw)
+        .when((is_kind(raw, "string")) & (is_kind(parsed, "object")), parsed)
+        .when((is_kind(raw, "string")) & parsed.isNotNull(), _as_input(parsed))
+        .when(is_kind(raw, "string"), wrapped_text)
         .otherwise(empty)
     )
 
@@ -111,7 +120,7 @@ def tool_output(v: Column) -> Column:
     """String as is, null as empty, anything else as JSON text."""
     return (
         F.when(v.isNull() | F.is_variant_null(v), F.lit(""))
-        .when(kind(v) == "string", F.try_variant_get(v, "$", "string"))
+        .when(is_kind(v, "string"), F.try_variant_get(v, "$", "string"))
         .otherwise(F.to_json(v))
     )
 
@@ -121,7 +130,7 @@ def cursor_output(block: Column) -> Column:
     result = path(block, "$.result")
     alt = cursor_text(path(block, "$.experimental_content"))
     return (
-        F.when(kind(result) == "string", F.try_variant_get(result, "$", "string"))
+        F.when(is_kind(result, "string"), F.try_variant_get(result, "$", "string"))
         .when(alt != "", alt)
         .otherwise(tool_output(result))
     )
@@ -139,12 +148,12 @@ def command_text(tool_input_: Column) -> Column:
     """list commands joined by blanks, strings as they are, other objects as JSON."""
     cmd = path(tool_input_, "$.command")
     parts = F.transform(
-        items(cmd), lambda c: F.when(kind(c) == "string", F.try_variant_get(c, "$", "string")).otherwise(F.to_json(c))
+        items(cmd), lambda c: F.when(is_kind(c, "string"), F.try_variant_get(c, "$", "string")).otherwise(F.to_json(c))
     )
     return (
-        F.when(kind(cmd) == "array", F.array_join(parts, " "))
-        .when(kind(cmd) == "string", F.try_variant_get(cmd, "$", "string"))
-        .when(kind(tool_input_) == "object", F.to_json(tool_input_))
+        F.when(is_kind(cmd, "array"), F.array_join(parts, " "))
+        .when(is_kind(cmd, "string"), F.try_variant_get(cmd, "$", "string"))
+        .when(is_kind(tool_input_, "object"), F.to_json(tool_input_))
         .otherwise("")
     )
 
@@ -155,8 +164,8 @@ def response_text(resp: Column) -> Column:
     parts = F.concat_ws("\n", *[F.nullif(text_at(resp, f"$.{k}"), F.lit("")) for k in keys])
     return (
         F.when(resp.isNull() | F.is_variant_null(resp), F.lit(None).cast("string"))
-        .when((kind(resp) == "object") & (parts != ""), parts)
-        .when(kind(resp) == "string", F.try_variant_get(resp, "$", "string"))
+        .when((is_kind(resp, "object")) & (parts != ""), parts)
+        .when(is_kind(resp, "string"), F.try_variant_get(resp, "$", "string"))
         .otherwise(F.to_json(resp))
     )
 
@@ -173,16 +182,16 @@ CURSOR_USAGE_NAMES = {
 def cursor_usage(message: Column) -> Column:
     """Usage struct of a message; one bad value voids all, none measured is null."""
     usage = path(message, "$.usage")
-    raw = F.when(kind(usage) == "object", usage).otherwise(path(message, "$.tokenCount"))
+    raw = F.when(is_kind(usage, "object"), usage).otherwise(path(message, "$.tokenCount"))
     fields, bad, measured = [], F.lit(False), F.lit(False)
     for name, aliases in CURSOR_USAGE_NAMES.items():
         v = F.coalesce(*[path(raw, f"$.{a}") for a in aliases])
         absent = v.isNull() | F.is_variant_null(v)
-        n = F.when(kind(v) == "integer", F.try_variant_get(v, "$", "bigint"))
+        n = F.when(is_kind(v, "integer"), F.try_variant_get(v, "$", "bigint"))
         bad = bad | (~absent & (n.isNull() | (n < 0)))
         measured = measured | ~absent
         fields.append(F.coalesce(n, F.lit(0).cast("long")).alias(name))
-    return F.when((kind(raw) == "object") & ~bad & measured, F.struct(*fields))
+    return F.when((is_kind(raw, "object")) & ~bad & measured, F.struct(*fields))
 
 
 def overview_text(structured: Column, texts: Column) -> Column:
@@ -194,9 +203,9 @@ def overview_text(structured: Column, texts: Column) -> Column:
 
     first = F.get(F.filter(texts, lambda t: t.isNotNull() & (t != "")), F.lit(0))
     envelope = F.try_parse_json(first)
-    own = F.when(kind(structured) == "object", pick(structured))
+    own = F.when(is_kind(structured, "object"), pick(structured))
     return (
         F.when(F.trim(own) != "", own)
-        .when(kind(envelope) == "object", F.coalesce(pick(envelope), F.lit("")))
+        .when(is_kind(envelope, "object"), F.coalesce(pick(envelope), F.lit("")))
         .otherwise(F.coalesce(first, F.lit("")))
     )

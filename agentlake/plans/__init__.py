@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("session_queries",)
+MODULES = ("session_queries", "canonical_queries")
 
 
 def load_all() -> None:

@@ -8,6 +8,7 @@ where the plain text would scan a table several times or window a whole key.
 from __future__ import annotations
 
 from functools import cached_property
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+_VIEW_NO = count()
+
 VIEW_SQL = {
     "v_records": """
 SELECT concat('s', conv_id) AS session_id, turn*10 AS seq, role AS type, text, md5(concat(conv_id, ':', turn)) AS uuid,
@@ -118,8 +121,14 @@ class Views:
 
     def sql(self, text: str, **frames: DataFrame) -> DataFrame:
         """Spark SQL over driver tables (``{events}``) and given frames (``{x}``)."""
-        used = {t: self.table(t) for t in TABLES if "{" + t + "}" in text and t not in frames}
-        return self.spark.sql(text, **used, **frames)
+        for name in (*TABLES, *frames):
+            mark = "{" + name + "}"
+            if mark in text:
+                df = frames[name] if name in frames else self.table(name)
+                view = f"agentlake_{name}_{next(_VIEW_NO)}"
+                df.createOrReplaceTempView(view)
+                text = text.replace(mark, view)
+        return self.spark.sql(text)
 
     def _view(self, name: str) -> DataFrame:
         return self.sql(VIEW_SQL[name])

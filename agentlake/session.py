@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +42,22 @@ def checkpoint(df: DataFrame) -> DataFrame:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative jobs")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="agentlake-ckpt-"))
     return df.checkpoint()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder for a job's own intermediate files, under the cluster's shared
+    checkpoint folder; a local master without one uses a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder before writing intermediate files")
+        folder = tempfile.mkdtemp(prefix="agentlake-files-")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back: later steps scan
+    only the columns they need, and a lost executor costs a re-read, not a recomputation."""
+    folder = scratch_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
