@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # What a glob sign means inside a path. Longest sign first.
 _SIGNS = {"**/": "(?:.*/)?", "**": ".*", "*": "[^/]*", "?": "[^/]"}
@@ -44,7 +45,7 @@ def glob_regex(glob: str | None) -> str | None:
     return r"\A(?:" + "|".join(out) + r")\z" if out else None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def compile_glob(globs: pd.Series) -> pd.Series:
     """Runs on the link table only, never on the edits."""
     return globs.map(glob_regex)
