@@ -40,30 +40,26 @@ def exact_median(df: DataFrame, col: str, width: int = 65_536) -> DataFrame:
     no task ever holds all values."""
     hist = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
     run = running(hist.withColumn("k", F.lit(0)), ["k"], ["v"], {"upto": Running("sum", F.col("n"))}, width=width)
-    total = hist.agg(F.sum("n").alias("total"))
+    run = run.withColumn("total", hist.agg(F.sum("n")).scalar())
     lo = F.floor((F.col("total") + 1) / 2)
     hi = F.floor(F.col("total") / 2) + 1
     first = F.col("upto") - F.col("n")
-    # ``total`` is one row, so this join adds a column and multiplies nothing
-    return run.join(F.broadcast(total)).agg(
-        (
-            F.max(F.when((lo > first) & (lo <= F.col("upto")), F.col("v")))
-            + F.max(F.when((hi > first) & (hi <= F.col("upto")), F.col("v")))
-        ).alias("twice")
-    ).select((F.col("twice") / 2).alias("median"))
+    twice = F.max(F.when((lo > first) & (lo <= F.col("upto")), F.col("v"))) + F.max(
+        F.when((hi > first) & (hi <= F.col("upto")), F.col("v"))
+    )
+    return run.agg((twice / 2).alias("median"))
 
 
 def size_profile(sessions: DataFrame, budget: int, col: str = "bytes") -> DataFrame:
     """R03 on one row per session."""
     c = F.col(col)
-    stats = sessions.agg(
+    return sessions.agg(
         F.count(F.lit(1)).alias("sessions"),
         F.count_if(c > 1_000_000).alias("over_1mb"),
         F.count_if(c > 5_000_000).alias("over_5mb"),
         F.max(c).alias("largest"),
         F.sum(F.ceil(c / budget)).alias("slices_at_least"),
-    )
-    return stats.join(F.broadcast(exact_median(sessions, col)))
+    ).withColumn("median", exact_median(sessions, col).scalar())
 
 
 def repeat_share(firings: DataFrame) -> DataFrame:
