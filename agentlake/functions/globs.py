@@ -7,7 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 # What a glob sign means inside a path. Longest sign first.
 _SIGNS = {"**/": "(?:.*/)?", "**": ".*", "*": "[^/]*", "?": "[^/]"}
@@ -45,6 +45,39 @@ def glob_regex(glob: str | None) -> str | None:
     return r"\A(?:" + "|".join(out) + r")\z" if out else None
 
 
+def glob_keys(glob: str | None) -> list[str]:
+    """What a path must have for each alternative: the literal folder in front of the first
+    sign, else the literal last segment, else nothing (``any``)."""
+    keys = set()
+    for alt in _alternatives(glob or ""):
+        first = _SIGN.search(alt)
+        folder = alt[: first.start() if first else len(alt)].rpartition("/")[0]
+        name = alt.rpartition("/")[2]
+        if folder:
+            keys.add("dir:" + folder)
+        elif not _SIGN.search(name):
+            keys.add("name:" + name)
+        else:
+            keys.add("any")
+    return sorted(keys)
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def compile_keys(globs: pd.Series) -> pd.Series:
+    return globs.map(glob_keys)
+
+
+def path_keys(path: Column) -> Column:
+    """The keys of a relative path: every folder above it, its name and ``any``."""
+    parts = F.split(path, "/")
+    depth = F.size(parts) - 1
+    folders = F.when(
+        depth > 0,
+        F.transform(F.sequence(F.lit(1), depth), lambda n: F.concat(F.lit("dir:"), F.array_join(F.slice(parts, F.lit(1), n), "/"))),
+    ).otherwise(F.array().cast("array<string>"))
+    return F.concat(folders, F.array(F.concat(F.lit("name:"), F.element_at(parts, -1)), F.lit("any")))
+
+
 @F.pandas_udf(StringType())
 def compile_glob(globs: pd.Series) -> pd.Series:
     """Runs on the link table only, never on the edits."""
