@@ -73,8 +73,8 @@ def _(v):
 
 @query(
     "a05_upsert_links",
-    """WITH l AS (SELECT concat('a', p_partkey % 500) AS artifact_id, concat('app/', p_partkey, '/**') AS glob, p_partkey AS w FROM part UNION ALL SELECT concat('a', p_partkey % 700), concat('docs/', p_partkey), 1000000 + p_partkey FROM part WHERE p_size > 25)
-    SELECT artifact_id, arg_max(glob, w) AS glob FROM l GROUP BY artifact_id""",
+    """WITH l AS (SELECT concat('a', p_partkey % 500) AS artifact_id, concat('app/', p_partkey, '/**') AS g, p_partkey AS w FROM part UNION ALL SELECT concat('a', p_partkey % 700), concat('docs/', p_partkey), 1000000 + p_partkey FROM part WHERE p_size > 25)
+    SELECT artifact_id, arg_max(g, w) AS "glob" FROM l GROUP BY artifact_id""",
 )
 def _(v):
     base = v.sql("SELECT concat('a', p_partkey % 500) AS artifact_id, concat('app/', p_partkey, '/**') AS glob, p_partkey AS at FROM {part}")
