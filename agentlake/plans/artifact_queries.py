@@ -164,7 +164,7 @@ def _(v):
     f"""WITH {VERSIONS_SQL}, p AS (SELECT b.artifact_id AS pair, a.content AS old, b.content AS new FROM ver b JOIN ver a ON a.artifact_id = b.parent_id),
     l AS (SELECT pair, unnest(string_split(old, chr(10))) AS line, -1 AS n FROM p UNION ALL SELECT pair, unnest(string_split(new, chr(10))), 1 FROM p),
     s AS (SELECT pair, line, sum(n) AS n FROM l GROUP BY pair, line)
-    SELECT pair, line, CASE WHEN n > 0 THEN 'added' ELSE 'removed' END AS change, abs(n) AS times FROM s WHERE n <> 0""",
+    SELECT pair, line, CASE WHEN n > 0 THEN 'added' ELSE 'removed' END AS change, abs(n) AS times FROM s WHERE n <> 0""", longs=('times',),
 )
 def _(v):
     ver = v.versions

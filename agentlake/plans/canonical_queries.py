@@ -147,7 +147,8 @@ deltas AS (SELECT session_id, idx, greatest(0, da - db - dc) AS input_tokens, dd
   FROM fold WHERE ok AND (da > 0 OR db > 0 OR dc > 0 OR dd > 0))"""
 
 
-@query("c12_usage_deltas", _DELTA_SQL + " SELECT * FROM deltas")
+@query("c12_usage_deltas", _DELTA_SQL + " SELECT * FROM deltas", longs=('input_tokens', 'output_tokens', 'cache_read_input_tokens', 'cache_creation_input_tokens'),
+)
 def _(v):
     return CX.usage_deltas(v.tokens).withColumn("session_id", F.col("session_id").cast("long"))
 
@@ -156,7 +157,7 @@ def _(v):
     "r06_usage_check",
     _DELTA_SQL + """, stored AS (SELECT session_id, sum(input_tokens + output_tokens + cache_read_input_tokens + cache_creation_input_tokens) AS stored FROM deltas GROUP BY session_id)
     SELECT t.session_id, max(input_tokens + output_tokens) AS raw_total, coalesce(any_value(stored), 0) AS stored, max(input_tokens + output_tokens) - coalesce(any_value(stored), 0) AS difference
-    FROM v_tokens t LEFT JOIN stored USING (session_id) GROUP BY t.session_id""",
+    FROM v_tokens t LEFT JOIN stored USING (session_id) GROUP BY t.session_id""", longs=('raw_total', 'stored', 'difference'),
 )
 def _(v):
     deltas = CX.usage_deltas(v.tokens).withColumn("session_id", F.col("session_id").cast("long"))
@@ -643,7 +644,7 @@ def _(v):
     o AS (SELECT *, sum(strlen(raw) + 1) OVER (PARTITION BY session_id ORDER BY turn) AS byte_end, max(turn) OVER (PARTITION BY session_id) AS last_turn FROM lines),
     c AS (SELECT session_id, max(byte_end) AS "offset" FROM o WHERE turn <= 2 AND conv_id % 3 <> 0 GROUP BY session_id)
     SELECT o.session_id, count(*) FILTER (WHERE NOT broken AND NOT blank) AS records, count(*) FILTER (WHERE broken OR blank) AS malformed, max(byte_end) AS consumed
-    FROM o LEFT JOIN c USING (session_id) WHERE NOT (turn = last_turn AND conv_id % 4 = 0) AND byte_end - strlen(raw) - 1 >= coalesce("offset", 0) GROUP BY o.session_id""",
+    FROM o LEFT JOIN c USING (session_id) WHERE NOT (turn = last_turn AND conv_id % 4 = 0) AND byte_end - strlen(raw) - 1 >= coalesce("offset", 0) GROUP BY o.session_id""", longs=('consumed',),
 )
 def _(v):
     rows = _lines(v).withColumn("n", (F.octet_length("raw") + 1).cast("long"))

@@ -242,8 +242,8 @@ _ISO = "strftime(make_timestamp(CAST((1600000000 + o_orderkey) AS BIGINT) * 1000
 
 @query(
     "f25_parse_utc",
-    """SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 1600000000 + o_orderkey WHEN 1 THEN 1600000000 + o_orderkey - 5400 WHEN 2 THEN 1600000000 + o_orderkey + 3600
-    WHEN 3 THEN 1600000000 + o_orderkey + 0.5 WHEN 4 THEN 1600000000 + o_orderkey ELSE NULL END AS epoch FROM orders""",
+    """SELECT o_orderkey, CAST(CASE o_orderkey % 6 WHEN 0 THEN 1600000000 + o_orderkey WHEN 1 THEN 1600000000 + o_orderkey - 5400 WHEN 2 THEN 1600000000 + o_orderkey + 3600
+    WHEN 3 THEN 1600000000 + o_orderkey + 0.5 WHEN 4 THEN 1600000000 + o_orderkey ELSE NULL END AS DOUBLE) AS epoch FROM orders""",
 )
 def _(v):
     iso = F.regexp_replace(TM.iso_millis((F.lit(1_600_000_000) + F.col("o_orderkey")) * 1000), r"\.000Z$", "")

@@ -58,14 +58,15 @@ _GUARDED = """SELECT *, CASE WHEN echo IS NULL OR echo = org_name THEN ok ELSE f
   FROM (SELECT *, CASE WHEN org_id % 11 = 5 THEN 'elsewhere' ELSE applied_org_name END AS echo FROM v_listings) x"""
 
 
-def _listings(v, ok=None):
-    rows = v.listings.withColumns(
-        {
-            "applied_org_name": F.when(F.col("org_id") % 11 == 5, "elsewhere").otherwise(F.col("applied_org_name")),
-            "rank": F.when(F.col("is_default"), 0).otherwise(1) * 1000 + F.col("org_id"),
-        }
-    )
-    return rows if ok is None else rows.withColumns({"ok": F.lit(ok), "applied_org_name": F.when(F.col("applied_org_name").isNotNull(), F.col("org_name"))})
+def _listings(v, answered: bool = False):
+    """Listing rows with their rank; with ``answered`` every listing answered and echoes its
+    own organisation, otherwise some failed or echo another one."""
+    rank = F.when(F.col("is_default"), 0).otherwise(1) * 1000 + F.col("org_id")
+    rows = v.listings.withColumn("rank", rank)
+    if answered:
+        return rows.withColumn("ok", F.lit(True))
+    echo = F.when(F.col("org_id") % 11 == 5, "elsewhere").otherwise(F.col("applied_org_name"))
+    return rows.withColumn("applied_org_name", echo)
 
 
 def _resolve_sql(guarded: str) -> str:
@@ -83,7 +84,7 @@ def _repos(v):
 
 @query("j03_resolve_brains", _resolve_sql("SELECT *, true AS good, CASE WHEN applied_org_name IS NOT NULL THEN org_id END AS attributed FROM v_listings"))
 def _(v):
-    return RT.resolve_brains(_repos(v), _listings(v, ok=True)).select("c_custkey", "decision", "brain_id", "org_id")
+    return RT.resolve_brains(_repos(v), _listings(v, answered=True)).select("c_custkey", "decision", "brain_id", "org_id")
 
 
 @query("j03_resolve_brains_partial", _resolve_sql(_GUARDED))

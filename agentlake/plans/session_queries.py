@@ -178,7 +178,7 @@ PLAN_SQL = f"{SLICES_SQL}, plan AS (SELECT session_id, slice, count(*) AS record
     run AS (SELECT *, coalesce(sum(seconds) OVER w, 0) AS spent FROM plan WINDOW w AS (PARTITION BY session_id ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
     SELECT session_id, count(*) AS slices, count(*) FILTER (WHERE slice = 1 OR 40 - spent >= 10) AS slices_sent,
       coalesce(sum(records) FILTER (WHERE NOT (slice = 1 OR 40 - spent >= 10)), 0) AS records_not_sent, false AS stopped_by_failure
-    FROM run GROUP BY session_id""",
+    FROM run GROUP BY session_id""", longs=('records_not_sent',),
 )
 def _(v):
     return SL.delivery_report(_plan(v).withColumn("failed", F.lit(False)), 40.0)
@@ -190,7 +190,7 @@ def _(v):
     run AS (SELECT *, coalesce(bool_or(failed) OVER w, false) AS broken FROM plan WINDOW w AS (PARTITION BY session_id ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
     SELECT session_id, count(*) AS slices, count(*) FILTER (WHERE NOT broken AND NOT failed) AS slices_sent,
       coalesce(sum(records) FILTER (WHERE broken OR failed), 0) AS records_not_sent, bool_or(NOT broken AND failed) AS stopped_by_failure
-    FROM run GROUP BY session_id""",
+    FROM run GROUP BY session_id""", longs=('records_not_sent',),
 )
 def _(v):
     return SL.delivery_report(_plan(v), 1e12)
@@ -200,8 +200,8 @@ def _(v):
     "w10_flush_summary",
     f"""WITH b AS (SELECT session_id, seq // 20 AS batch, count(*) FILTER (WHERE NOT {WRAPPER_SQL}) AS sent, count(*) FILTER (WHERE {WRAPPER_SQL}) AS filtered,
       sum({SIZE_SQL.format('text')}) AS byte_span FROM v_records GROUP BY 1, 2)
-    SELECT session_id, batch, sent, filtered, byte_span, n AS records_new, batch AS pending, batch % 3 = 0 AS draining FROM b
-    LEFT JOIN (SELECT concat('s', conv_id) AS session_id, turn*10 // 20 AS batch, count(*) AS n FROM conversations GROUP BY 1, 2) USING (session_id, batch)""",
+    SELECT session_id, batch, sent, filtered, byte_span, n AS records_new, CASE WHEN n IS NOT NULL THEN batch END AS pending, CASE WHEN n IS NOT NULL THEN batch % 3 = 0 END AS draining FROM b
+    LEFT JOIN (SELECT concat('s', conv_id) AS session_id, turn*10 // 20 AS batch, count(*) AS n FROM conversations GROUP BY 1, 2) USING (session_id, batch)""", longs=('byte_span',),
 )
 def _(v):
     replies = (
@@ -217,8 +217,7 @@ def _(v):
         F.sum(V.record_size(F.col("text"))).alias("byte_span"),
     )
     return sent.join(replies, ["session_id", "batch"], "left").select(
-        "session_id", "batch", "sent", "filtered", "byte_span", "records_new",
-        F.col("batch").alias("pending"), (F.col("batch") % 3 == 0).alias("draining"),
+        "session_id", "batch", "sent", "filtered", "byte_span", "records_new", "pending", "draining"
     )
 
 
@@ -228,7 +227,7 @@ def _(v):
     SELECT session_id, count(*) FILTER (WHERE NOT {WRAPPER_SQL}) AS records, count(*) FILTER (WHERE {WRAPPER_SQL}) AS dropped,
       sum({SIZE_SQL.format('text')} + 64) AS bytes, sum({SIZE_SQL.format('text')} + 64) // 4 AS about_tokens,
       any_value(slices) AS slices, arg_min(cwd, seq) FILTER (WHERE cwd IS NOT NULL) AS destination
-    FROM v_records JOIN n USING (session_id) GROUP BY session_id""",
+    FROM v_records JOIN n USING (session_id) GROUP BY session_id""", longs=('bytes', 'about_tokens'),
 )
 def _(v):
     wrapper = T.is_command_wrapper(F.col("type"), F.col("text"))
@@ -312,7 +311,7 @@ def _(v):
     "r03_size_profile",
     f"""WITH s AS (SELECT session_id, sum({SIZE_SQL.format('text')} + 64) AS bytes FROM v_records GROUP BY session_id)
     SELECT count(*) AS sessions, count(*) FILTER (WHERE bytes > 1000000) AS over_1mb, count(*) FILTER (WHERE bytes > 5000000) AS over_5mb,
-      max(bytes) AS largest, sum(ceil(bytes / {SLICE_BUDGET})) AS slices_at_least, median(bytes) AS median FROM s""",
+      max(bytes) AS largest, sum(ceil(bytes / {SLICE_BUDGET})) AS slices_at_least, median(bytes) AS median FROM s""", longs=('largest', 'slices_at_least'),
 )
 def _(v):
     return RP.size_profile(sized(v).groupBy("session_id").agg(F.sum("size").alias("bytes")), SLICE_BUDGET)
