@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("session_queries", "canonical_queries", "function_queries", "routing_queries", "directive_queries", "artifact_queries", "health_queries", "fleet_queries")
+MODULES = ("session_queries", "canonical_queries", "function_queries", "routing_queries", "directive_queries", "artifact_queries", "health_queries", "fleet_queries", "streaming_queries")
 
 
 def load_all() -> None:
