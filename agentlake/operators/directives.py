@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from agentlake.functions import commands as C
 from agentlake.functions import values as V
+from agentlake.session import materialize
 
 # Words too common to anchor a directive on their own.
 GENERIC_TOKENS = (
@@ -179,8 +180,12 @@ def recall(
     w = Window.partitionBy("scope", "token").orderBy(F.col("seen").desc(), "pos")
     ranked = per_token.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k + deepest)
 
-    own = calls.withColumn("repo", F.coalesce("repo", F.lit("")))
-    hits = token_hits(calls, real)
+    # the calls are read three times below; keeping the four narrow columns costs less than
+    # classifying every event again
+    own = materialize(
+        calls.select("call_id", "session_id", F.coalesce("repo", F.lit("")).alias("repo"), "hay"), "calls"
+    )
+    hits = token_hits(own, real)
     by_hay = own.filter("hay <> ''").join(hits, ["repo", "hay"]).select("call_id", "session_id", "scope", "token")
     scopes = F.explode(F.array_distinct(F.array("repo", F.lit("")))).alias("scope")
     always = own.select("call_id", "session_id", scopes, F.when(F.col("hay") == "", F.lit(_ANY)).otherwise(F.lit(_FREE)).alias("token"))

@@ -86,33 +86,36 @@ def _apply_steps(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(out, columns=["session_id", "run", "open_bytes", "slices_before"])
 
 
-def _cut_run(budget: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq")
-        cum = pdf["size"].to_numpy(dtype="int64").cumsum()
-        n = len(cum)
-        carry, base = int(pdf["open_bytes"].iloc[0]), int(pdf["slices_before"].iloc[0])
-        nxt = _next_starts(cum, budget)
-        starts = np.zeros(n, dtype="int64")
-        at = 0 if carry < 0 else int(np.searchsorted(cum, budget - carry, side="right"))
-        while at < n:
-            starts[at] = 1
-            at = int(nxt[at])
-        return pd.DataFrame(
-            {"session_id": pdf["session_id"], "seq": pdf["seq"], "size": pdf["size"], "slice": base + starts.cumsum()}
-        )
+def _cut(budget: int):
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows come sorted by (session, run, seq); each run starts from its own entry state."""
+        at, used, n = None, -1, 0
+        for pdf in frames:
+            out = []
+            for s, r, size, open_bytes, before in zip(pdf["session_id"], pdf["run"], pdf["size"], pdf["open_bytes"], pdf["slices_before"]):
+                if (s, r) != at:
+                    at, used, n = (s, r), open_bytes, before
+                if used < 0 or used + size > budget:
+                    n, used = n + 1, size
+                else:
+                    used += size
+                out.append(n)
+            yield pd.DataFrame({"session_id": pdf["session_id"], "seq": pdf["seq"], "size": pdf["size"], "slice": out})
 
-    return run
+    return cut
 
 
 def slices(records: DataFrame, budget: int = DEFAULT_BUDGET, width: int = WIDTH) -> DataFrame:
     """``session_id, seq, size`` to a 1-based ``slice``. Slices are consecutive and
-    disjoint; a record over the budget rides alone; ``budget <= 0`` means one slice."""
+    disjoint; a record over the budget rides alone; ``budget <= 0`` means one slice.
+
+    Sessions of one run need no entry state, so only the longer ones are summarized."""
     rows = records.select("session_id", F.col("seq").cast("long").alias("seq"), F.col("size").cast("long").alias("size"))
     if budget <= 0:
         return rows.withColumn("slice", F.lit(1).cast("long"))
     rows = rows.withColumn("run", bucket_of("seq", width).cast("long"))
-    steps = rows.groupBy("session_id", "run").applyInPandas(
+    long_ones = rows.groupBy("session_id").agg(F.min("run").alias("a"), F.max("run").alias("b")).filter(F.col("a") < F.col("b"))
+    steps = rows.join(long_ones.select("session_id"), "session_id", "left_semi").groupBy("session_id", "run").applyInPandas(
         _steps_of_run(budget),
         "session_id string, run long, above long, cuts long, left long, total long, first_cuts long, first_left long",
     )
@@ -123,10 +126,14 @@ def slices(records: DataFrame, budget: int = DEFAULT_BUDGET, width: int = WIDTH)
         _apply_steps,
         "session_id string, run long, open_bytes long, slices_before long",
     )
+    ready = rows.join(entries, ["session_id", "run"], "left").select(
+        "session_id", "run", "seq", "size",
+        F.coalesce("open_bytes", F.lit(-1)).alias("open_bytes"), F.coalesce("slices_before", F.lit(0)).alias("slices_before"),
+    )
     return (
-        rows.join(entries, ["session_id", "run"])
-        .groupBy("session_id", "run")
-        .applyInPandas(_cut_run(budget), "session_id string, seq long, size long, slice long")
+        ready.repartition("session_id", "run")
+        .sortWithinPartitions("session_id", "run", "seq")
+        .mapInPandas(_cut(budget), "session_id string, seq long, size long, slice long")
     )
 
 
