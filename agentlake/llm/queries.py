@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from agentlake.llm.bpe_codec import encode_decode
 from agentlake.llm.token_counts import token_counts
+from agentlake.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +31,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
