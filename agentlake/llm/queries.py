@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from agentlake.llm.bpe_codec import encode_decode
+from agentlake.llm.simhash import near_duplicates
 from agentlake.llm.token_counts import token_counts
 from agentlake.llm.toxicity import toxicity
 
@@ -36,3 +37,8 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")

@@ -35,17 +35,16 @@ def plain(word: str) -> str:
 
 
 def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the byte trigrams of ``<word>`` for all words, and the number of each."""
-    raw = [f"<{w}>".encode("utf-8", "surrogatepass") for w in words]
+    """Buckets of the byte trigrams of ``<<word>`` for all words, and the number of each."""
+    raw = [f"<<{w}>".encode("utf-8", "surrogatepass") for w in words]
     sizes = np.array([len(r) for r in raw], dtype=np.int64)
     b = np.frombuffer(b"".join(raw) + b"\0\0", dtype=np.uint8).astype(np.int64)
     hashed = (b[:-2] * 7919 + b[1:-1] * 104_729 + b[2:] * 1_299_709) % 65_521 % BUCKETS
-    counts = np.maximum(sizes - 2, 1)
     keep = np.ones(len(hashed), dtype=bool)
     ends = np.cumsum(sizes)
     for back in (1, 2):  # the last two places of each word begin no trigram of their own
-        keep[(ends - back)[sizes - back >= 1]] = False
-    return hashed[keep], counts
+        keep[ends - back] = False
+    return hashed[keep], sizes - 2
 
 
 def window_index(n: int) -> np.ndarray:
