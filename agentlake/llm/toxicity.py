@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 LENGTH, STRIDE = 32, 24
 #: Bound of the training sample (rows of each class), of the learned vocabulary, sizes of the network.
 SAMPLE, VOCABULARY, WORD_DIM, CHAR_DIM, BUCKETS, HIDDEN = (900, 2200), 12_000, 8, 8, 512, 8
-EPOCHS, BATCH, MEMO, SEED = 4, 96, 600_000, 7
+EPOCHS, BATCH, MEMO, SEED = 8, 96, 600_000, 7
 
 
 def words_of(text: str | None) -> list[str]:
