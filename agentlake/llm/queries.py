@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from agentlake.llm.bpe_codec import encode_decode
+from agentlake.llm.decontaminate import decontaminate
+from agentlake.llm.secret_scan import scan
 from agentlake.llm.simhash import near_duplicates
 from agentlake.llm.token_counts import token_counts
 from agentlake.llm.toxicity import toxicity
@@ -42,3 +44,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(_table(spark, sf_dir, "documents"))
