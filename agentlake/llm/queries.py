@@ -12,6 +12,7 @@ from agentlake.llm.secret_scan import scan
 from agentlake.llm.simhash import near_duplicates
 from agentlake.llm.token_counts import token_counts
 from agentlake.llm.toxicity import toxicity
+from agentlake.llm.url_filter import filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +55,8 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(_table(spark, sf_dir, "pages"))
