@@ -37,14 +37,8 @@ def windows(items: DataFrame, size: int) -> DataFrame:
     return w.select("item_id", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - size + 1)), lambda i: F.slice("w", i, size))).alias("phrase")).distinct()
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW, slack: int = SLACK) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near of every row.
-
-    n_near counts items of which the two rarest terms of a window stand in the window's order
-    but up to ``slack`` words off, in this text. Null texts have no words; empty items have no
-    window; repeated items count once, null item ids are left out; repeated rows and null doc_ids
-    keep a row each; further columns are ignored; an empty benchmark hits nothing."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
+def found_in(docs: DataFrame, items: DataFrame, size: int = WINDOW, slack: int = SLACK) -> DataFrame:
+    """(h, n_hit, list, n_near) of the texts with phrase or proximity matches; h is their hash."""
     wins = materialize(windows(items.filter("item_id is not null"), size), "windows")
     phrases = wins.groupBy("phrase").agg(F.collect_set("item_id").alias("items"))  # an item twice in a set: once
     vocabulary = phrases.select(F.explode("phrase").alias("term")).distinct()
@@ -76,7 +70,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW, slack:
     met = materialize(met.groupBy("h", "phrase", "start").agg(F.min(F.abs("gap")).alias("gap")).filter("gap = 0 or start is not null"), "met")
     # verify phrases where they seem to be; one text of each hash
     exact = met.filter("gap = 0").groupBy("h").agg(F.collect_set(F.struct("phrase", "start")).alias("found"))
-    texts = rows.select("h", "text").join(exact.select("h"), "h", "left_semi").groupBy("h").agg(F.min("text").alias("text"))
+    texts = docs.select(F.xxhash64("text").alias("h"), "text").join(exact.select("h"), "h", "left_semi").groupBy("h").agg(F.min("text").alias("text"))
     right = (
         exact.join(texts, "h")
         .withColumn("w", words(F.col("text")))
@@ -95,10 +89,26 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW, slack:
     items_of = lambda x: x.select("h", "phrase").distinct().join(phrases, "phrase").select("h", F.explode("items").alias("item"))
     listed = items_of(right).distinct().groupBy("h").agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("list"))
     close = items_of(met.filter("gap > 0")).groupBy("h").agg(F.count_distinct("item").alias("n_near"))
-    found = covered.join(listed, "h", "full").join(close, "h", "full")
-    out = rows.select("doc_id", "h", F.size(words(F.col("text"))).cast("long").alias("n_words")).join(found, "h", "left")
+    return covered.join(listed, "h", "full").join(close, "h", "full")
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW, slack: int = SLACK) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near of every row.
+
+    n_near counts items of which the two rarest terms of a window stand in the window's order
+    but up to ``slack`` words off, in this text. Null texts have no words; empty items have no
+    window; repeated items count once, null item ids are left out; repeated rows and null doc_ids
+    keep a row each; further columns are ignored; an empty benchmark hits nothing."""
+    found = found_in(docs, items, size, slack)
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), F.size(words(F.col("text"))).cast("long").alias("n_words")).join(found, "h", "left")
     n = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     return out.select(
         "doc_id", "n_words", n(F.col("n_hit")).alias("n_hit"), n(F.size(F.coalesce("list", F.array()))).alias("n_items"),
         F.sha2(F.coalesce(F.array_join("list", ","), F.lit("")), 256).alias("items_sha256"), (n(F.col("n_hit")) > 0).alias("contaminated"), n(F.col("n_near")).alias("n_near"),
     )
+
+
+def uncontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The documents without any hit, with their own columns."""
+    hit = found_in(docs, items).filter("n_hit > 0").select(F.col("h").alias("__h"))
+    return docs.join(hit, F.xxhash64("text") == F.col("__h"), "left_anti")

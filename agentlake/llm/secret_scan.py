@@ -154,7 +154,7 @@ def candidates(posted: DataFrame, grams: list[str], rules: tuple[Rule, ...]) ->
 
 
 def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
-    """All columns of ``docs`` and ``found``: the spans (begin, end, kind) by begin, then kind as listed."""
+    """All columns of ``docs`` and ``__found``: the spans (begin, end, kind) by begin, then kind as listed."""
     posted, grams = postings(docs, rules)
     picked = candidates(materialize(posted.distinct(), "grams"), grams, rules)
     rows = docs.withColumn("__h", F.xxhash64("text")).join(picked.select(F.col("h").alias("__h"), F.col("rules").alias("__rules")), "__h", "left")
@@ -164,7 +164,7 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> Data
         maybe = F.coalesce(F.array_contains("__rules", k), F.lit(False)) if indexed else F.rlike("text", F.lit(r.pattern))
         none = F.array().cast("array<struct<begin:int,end:int>>")
         parts.append(_numbered(F.coalesce(F.when(maybe, _spans(F.col("text"), r)), none), k))
-    return rows.withColumn("found", F.array_sort(F.concat(*parts))).drop("__h", "__rules")
+    return rows.withColumn("__found", F.array_sort(F.concat(*parts))).drop("__h", "__rules")
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
@@ -176,7 +176,18 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
     rows = secret_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")), rules)
     kinds = F.array(*(F.lit(r.kind) for r in rules))
     line = lambda c: F.array_join(F.transform(c, lambda s: F.concat(F.get(kinds, s.rule), F.lit(":"), s.begin.cast("string"), F.lit(":"), s.end.cast("string"))), ",")
-    rows = rows.select("doc_id", "found")
+    rows = rows.select("doc_id", F.col("__found").alias("found"))
     count = lambda k: F.size(F.filter("found", lambda s: s.rule == k)).cast("long")
     counts = [count(k).alias(f"n_{r.kind}") for k, r in enumerate(BASE)]
     return rows.select("doc_id", *counts, F.sha2(line(F.filter("found", lambda s: s.rule < len(BASE))), 256).alias("base_sha256"), line(F.col("found")).alias("spans"))
+
+
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, mask: str = "[secret]") -> DataFrame:
+    """The documents with every span of ``text`` replaced by ``mask``, other columns as they are."""
+    text = F.col("text")
+    step = lambda acc, s: F.struct(
+        F.when(s.begin >= acc["at"], F.concat(acc["out"], F.substr(text, acc["at"] + 1, s.begin - acc["at"]), F.lit(mask))).otherwise(acc["out"]).alias("out"),
+        F.greatest(acc["at"], s.end).alias("at"),
+    )
+    masked = F.aggregate("__found", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
+    return secret_spans(docs, rules).withColumn("text", F.when(F.size("__found") > 0, masked).otherwise(text)).drop("__found")

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from agentlake.llm.graph import components
@@ -115,3 +116,17 @@ def near_duplicates(docs: DataFrame, n_words: int = WORDS, distance: int = DISTA
     classes = rooted.join(ids, "root_bits").select("bits", "component_id", "root_bits")
     digits = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
     return hashed.join(classes, "bits").select("doc_id", digits("bits").alias("fingerprint"), "component_id", digits("root_bits").alias("root"))
+
+
+def representatives(docs: DataFrame, n_words: int = WORDS, distance: int = DISTANCE, seed: int = SEED) -> DataFrame:
+    """One row of each group of near duplicates, with its own columns: the least doc_id, of
+    repeated rows one. A group without any id keeps one of its rows."""
+    groups = near_duplicates(docs, n_words, distance, seed)
+    ids = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    once = lambda df, key: df.withColumn("__n", F.row_number().over(W.partitionBy(key).orderBy("__h"))).filter("__n = 1").drop("__n", "__h")
+    keyed = docs.withColumn("__h", F.xxhash64("text"))
+    known = once(keyed.filter("doc_id is not null").join(ids.withColumnRenamed("doc_id", "__id"), F.col("doc_id").cast("long") == F.col("__id"), "left_semi"), "doc_id")
+    nameless = groups.filter("component_id is null").select(F.col("fingerprint").alias("__f"), F.col("root").alias("__root")).distinct()
+    prints = fingerprints(docs.filter("doc_id is null").select(F.xxhash64("text").alias("doc_id"), "text").distinct(), n_words, seed).select(F.col("doc_id").alias("__h"), F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("__f"))
+    rest = keyed.filter("doc_id is null").join(prints.join(nameless, "__f").select("__h", "__root").distinct(), "__h")
+    return known.unionByName(once(rest, "__root").drop("__root").select(*docs.columns))

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words in a window and between the beginnings of two windows; each overlaps the next.
 LENGTH, STRIDE = 32, 24
@@ -302,11 +303,23 @@ def _score(model: Network | float):
         scorer = Scorer(model)
         for b in batches:
             s = scorer.scores(b.column(b.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s.astype(float), pa.float64())], [*b.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s.astype(float), pa.float64())], [*b.schema.names[:-1], "__score"])
 
     return run
 
 
+def scored(docs: DataFrame, model: Network | float) -> DataFrame:
+    """All columns of ``docs`` and ``__score``."""
+    kind = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())])
+    return docs.withColumn("__text", F.coalesce(F.col("text"), F.lit(""))).mapInArrow(_score(model), kind)
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Network | float:
+    """The model for these labels; 0 where no labelled text exists."""
+    rows = training_rows(docs, labels)
+    return train([t for t, _ in rows], [label for _, label in rows])
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, model: Network | float | None = None) -> DataFrame:
     """doc_id, held_out, score, predicted of every text, one row for each input row.
 
@@ -314,6 +327,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, model: Network | float | None =
     each (a null id is not held out); labels without both classes give a constant score, an
     empty table no rows. Further columns are ignored. The training sample is bounded by
     ``SAMPLE``; scoring reads every window of every text."""
-    model = train(*zip(*rows, strict=True)) if model is None and (rows := training_rows(docs, labels)) else (0.0 if model is None else model)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return rows.mapInArrow(_score(model), "doc_id long, held_out boolean, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
+    score = F.col("__score").alias("score")
+    return scored(rows, fit(docs, labels) if model is None else model).select("doc_id", "held_out", score, (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+
+
+def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are not predicted toxic, with their own columns."""
+    return scored(docs, fit(docs, labels)).filter("__score < 0.5").drop("__score")
