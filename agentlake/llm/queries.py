@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from agentlake.llm.ann import search
 from agentlake.llm.bpe_codec import encode_decode
 from agentlake.llm.decontaminate import decontaminate
 from agentlake.llm.secret_scan import scan
 from agentlake.llm.simhash import near_duplicates
+from agentlake.llm.substring_dedup import substring_dedup
+from agentlake.llm.suffix_dedup import suffix_dedup
 from agentlake.llm.token_counts import token_counts
 from agentlake.llm.toxicity import toxicity
 from agentlake.llm.url_filter import filter_urls
@@ -60,3 +64,18 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
