@@ -147,7 +147,7 @@ def _rank(top: int):
     def run(key, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(queries) and len(rows):
-            v, ids = np.stack(rows["v"].to_numpy()), rows["vec_id"].to_numpy()
+            v, ids = np.stack(rows["row_v"].to_numpy()), rows["row_id"].to_numpy()
             for i in range(0, len(queries), 256):
                 some = queries.iloc[i : i + 256]
                 q, qid = np.stack(some["v"].to_numpy()), some["vec_id"].to_numpy()
@@ -183,7 +183,7 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, mass: float = M
     kind = T.StructType([*rows.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("visits", T.ArrayType(T.IntegerType()))])
     routed = materialize(rows.mapInPandas(_route(router, mass), kind), "routed")
     sizes = routed.groupBy("part").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))  # one row a part
-    index = routed.join(sizes, "part").select("part", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int").alias("chunk"), "vec_id", "v")
+    index = routed.join(sizes, "part").select("part", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int").alias("chunk"), F.col("vec_id").alias("row_id"), F.col("v").alias("row_v"))
     queries = routed.filter(is_query).select("vec_id", "v", F.explode("visits").alias("part")).join(sizes, "part")
     queries = queries.select("part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "vec_id", "v")
     found = queries.groupBy("part", "chunk").cogroup(index.groupBy("part", "chunk")).applyInPandas(_rank(top), "query_id long, vec_id long, score double")
