@@ -177,7 +177,7 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, mass: float = M
     rows = materialize(rows.groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
     n = rows.count()
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
-    x = np.array([r.v for r in sorted(picked, key=lambda r: r.vec_id)]).reshape(len(picked), -1)
+    x = np.array([r.v for r in sorted(picked, key=lambda r: r.vec_id)]).reshape(len(picked), len(picked[0].v) if picked else 1)
     parts = max(1, min(-(-n // PART), len(x) // SUPPORT))
     router = learn(x, parts) if n else Router(np.zeros((0, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), 1.0)
     kind = T.StructType([*rows.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("visits", T.ArrayType(T.IntegerType()))])
