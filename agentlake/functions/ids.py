@@ -49,12 +49,17 @@ def rollout_session(path: Column) -> Column:
     return F.when(hit != "", hit).otherwise(stem)
 
 
+def flat_id(col: Column) -> Column:
+    """An id in the characters of file names, at full length: this one serves as identity."""
+    return F.regexp_replace(col, r"[^A-Za-z0-9._-]", "_")
+
+
 def safe_id(col: Column, mode: str = "state") -> Column:
-    """F16: ``state`` flattens to 80 characters, ``debounce`` to 64, ``fired`` deletes."""
+    """F16, for file names alone: ``state`` flattens to 80 characters, ``debounce`` to 64,
+    ``fired`` deletes. Two ids may share a file name, so keys use ``flat_id``."""
     if mode == "fired":
         return F.regexp_replace(col, r"[^A-Za-z0-9_-]", "")
-    n = {"state": 80, "debounce": 64}[mode]
-    return F.left(F.regexp_replace(col, r"[^A-Za-z0-9._-]", "_"), F.lit(n))
+    return F.left(flat_id(col), F.lit({"state": 80, "debounce": 64}[mode]))
 
 
 def cursor_session_id(session_id: Column, conversation: Column, transcript: Column) -> Column:
@@ -128,11 +133,12 @@ def handle_of(file_path: Column, notebook_path: Column, command: Column) -> Colu
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in (file_path, notebook_path, command)])
 
 
-def handle_args(args: Column) -> Column:
-    """F17 on MAP<STRING,STRING> inputs: identifying keys only, else every value cut to 500."""
+def handle_args(args: Column, limit: int | None = None) -> Column:
+    """F17 on MAP<STRING,STRING> inputs: identifying keys only, else every value, cut to
+    ``limit`` characters where one is given."""
     names = ("file_path", "notebook_path", "command")
     ids = F.map_filter(args, lambda k, v: k.isin(*names) & (v != ""))
-    return F.when(F.size(ids) > 0, ids).otherwise(F.transform_values(args, lambda k, v: F.left(v, F.lit(500))))
+    return F.when(F.size(ids) > 0, ids).otherwise(args if limit is None else F.transform_values(args, lambda k, v: F.left(v, F.lit(limit))))
 
 
 # Hook events only one host sends.

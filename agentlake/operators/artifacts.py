@@ -61,7 +61,7 @@ def links_for(links: DataFrame, path: str | None = None) -> DataFrame:
     return rows if path is None else rows.filter(F.rlike(F.lit(path), F.col("regex")))
 
 
-def lineage_roots(artifacts: DataFrame, max_rounds: int = 64) -> DataFrame:
+def lineage_roots(artifacts: DataFrame) -> DataFrame:
     """The root of every version, by doubling: each round replaces a pointer by its
     target's pointer, so a chain of n versions takes about log2(n) joins. A pointer that has
     reached its root is done and takes no part in later joins."""
@@ -72,15 +72,20 @@ def lineage_roots(artifacts: DataFrame, max_rounds: int = 64) -> DataFrame:
         F.when(F.col("__known"), F.col("parent_id")).otherwise(F.col("artifact_id")).alias("up"),
         F.col("__known").isNull().alias("done"),
     )
-    pointers = materialize(start, "lineage")
-    for _ in range(max_rounds):
-        pending = pointers.filter("NOT done").select("id", "up")
-        if pending.isEmpty():
-            return pointers.select("id", "up")
-        target = pointers.select(F.col("id").alias("up"), F.col("up").alias("next"), "done")
-        moved = pending.join(target, "up").select("id", F.col("next").alias("up"), "done")
-        pointers = materialize(pointers.filter("done").unionByName(moved), "lineage")
-    raise RuntimeError("lineage deeper than the doubling rounds allow")
+    pending = materialize(start, "lineage")
+    finished, left, rounds = pending.filter("done").select("id", "up"), pending.filter("NOT done").count(), 0
+    open_rows = left
+    while left:
+        # a chain of n versions is done after log2(n) rounds; what is left then runs in a circle
+        if rounds > open_rows.bit_length() + 1:
+            raise RuntimeError(f"{left} versions are their own ancestors")
+        target = pending.select(F.col("id").alias("up"), F.col("up").alias("next"), "done")
+        closed = finished.select(F.col("id").alias("up"), F.col("up").alias("next"), F.lit(True).alias("done"))
+        moved = pending.filter("NOT done").select("id", "up").join(target.filter("NOT done").unionByName(closed), "up").select("id", F.col("next").alias("up"), "done")
+        pending, rounds = materialize(moved, "lineage"), rounds + 1  # finished pointers are written once
+        finished = finished.unionByName(pending.filter("done").select("id", "up"))
+        left = pending.filter("NOT done").count()
+    return finished
 
 
 def lineage(artifacts: DataFrame, width: int = WIDTH) -> DataFrame:

@@ -23,7 +23,6 @@ GENERIC_TOKENS = (
 )
 MIN_TOKEN = 4
 TOP_K = 2
-KEEP_FIRED = 1_024
 KEEP_FIRED_S = 7 * 86_400
 # Tools that always change a file, and tools that run a shell command.
 EDIT_TOOLS = ("Edit", "MultiEdit", "Write", "NotebookEdit", "apply_patch")
@@ -242,10 +241,10 @@ def render_directives(ranked: DataFrame) -> DataFrame:
     return ranked.groupBy("call_id").agg(F.array_join(lines, "\n").alias("context"))
 
 
-def prune_firings(firings: DataFrame, now: int, keep: int = KEEP_FIRED, max_age_s: int = KEEP_FIRED_S) -> DataFrame:
-    """The last ``keep`` ids of each session; idle sessions are dropped."""
+def prune_firings(firings: DataFrame, now: int, keep: int | None = None, max_age_s: int = KEEP_FIRED_S) -> DataFrame:
+    """Idle sessions are dropped; of the others all ids stay, or the last ``keep``."""
     w = Window.partitionBy("session_id").orderBy(F.col("ts_s").desc(), F.col("event_id").desc())
-    last = firings.withColumn("__k", F.row_number().over(w)).filter(F.col("__k") <= keep).drop("__k")
+    last = firings if keep is None else firings.withColumn("__k", F.row_number().over(w)).filter(F.col("__k") <= keep).drop("__k")
     live = firings.groupBy("session_id").agg(F.max("ts_s").alias("__t")).filter(F.col("__t") >= now - max_age_s)
     return last.join(live.select("session_id"), "session_id", "left_semi")
 

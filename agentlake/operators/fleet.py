@@ -12,21 +12,19 @@ from agentlake.operators.ordered import WIDTH, previous
 
 ACTIVE_STALE_S = 12 * 3_600
 ENDED_KEEP_S = 3_600
-MAX_COMMIT_FILES = 8
+LINE_FILES = 8  # files that a rendered line names; the board keeps all
 COMMIT_FRESH_S = 120
 
 
 def commit_updates(events: DataFrame, commits: DataFrame, width: int = WIDTH) -> DataFrame:
     """Commit events that change the board: a real commit command, a commit of the same
-    repo made in the last two minutes, not the hash announced before; at most 8 files."""
+    repo made in the last two minutes, not the hash announced before, with all its files."""
     made = events.filter((F.col("event") == "post-tool") & C.is_git_commit(F.col("command")))
     got = made.join(
         commits.select("commit_hash", F.col("repo").alias("__repo"), "message", "files", F.col("at").alias("commit_at")), "commit_hash"
     ).filter((F.col("repo") == F.col("__repo")) & (F.col("ts_s") - F.col("commit_at") <= COMMIT_FRESH_S)).drop("__repo")
     seen = previous(got, ["session_id"], ["event_id"], {"__last": "commit_hash"}, width=width)
-    return seen.filter(~F.col("commit_hash").eqNullSafe(F.col("__last"))).drop("__last").withColumn(
-        "files", F.slice("files", F.lit(1), F.lit(MAX_COMMIT_FILES))
-    )
+    return seen.filter(~F.col("commit_hash").eqNullSafe(F.col("__last"))).drop("__last")
 
 
 def fold_board(events: DataFrame, commits: DataFrame | None = None) -> DataFrame:
@@ -96,7 +94,7 @@ def board_delta(board: DataFrame, asking: DataFrame, seen: DataFrame, now: int)
     doing = F.coalesce(F.concat(F.lit(" — working on: "), F.col("working_on")), F.lit(""))
     said = F.when(F.coalesce(c["message"], F.lit("")) != "", F.concat(F.lit(' — last commit: "'), c["message"], F.lit('"'))).otherwise("")
     said_new = F.when(fresh, said).otherwise("")
-    files = F.array_join(F.slice(c["files"], F.lit(1), F.lit(MAX_COMMIT_FILES)), ", ")
+    files = F.array_join(F.slice(c["files"], F.lit(1), F.lit(LINE_FILES)), ", ")
     touching = F.when(files != "", F.concat(F.lit(" touching "), files)).otherwise("")
     refocused = F.col("working_on").isNotNull() & ~F.col("working_on").eqNullSafe(F.col("wo"))
     change = (

@@ -43,7 +43,7 @@ def codex_session_id(events: DataFrame, catalog: DataFrame) -> DataFrame:
     )
     out = out.withColumn("status", status)
     return out.withColumn(
-        "sid", F.when(F.col("status") == "ok", I.safe_id(F.coalesce("from_path", "session_id")))
+        "sid", F.when(F.col("status") == "ok", I.flat_id(F.coalesce("from_path", "session_id")))
     ).drop("from_path", "files")
 
 
@@ -237,14 +237,15 @@ def classify(
     )
 
 
-def recent_failure(state: DataFrame, now: int, window_s: int = 86_400, newest: int = 40) -> DataFrame:
-    """The newest failure of the last day among the newest state rows, unless some path
-    of its session succeeded at or after it."""
-    rows = state.orderBy(F.col("at").desc(), "session_id", "capture_path").limit(newest)
-    bad = rows.filter(F.col("last_error").isNotNull() & (F.col("last_error_at") >= now - window_s))
+def recent_failure(state: DataFrame, now: int, window_s: int = 86_400, by: str = "session_id") -> DataFrame:
+    """For each session (or other column ``by``, such as an account) the newest failure of
+    the last day, unless some path of its session succeeded at or after it."""
+    bad = state.filter(F.col("last_error").isNotNull() & (F.col("last_error_at") >= now - window_s))
     good = state.filter(F.col("last_ok_at").isNotNull()).groupBy("session_id").agg(F.max("last_ok_at").alias("__ok"))
     live = bad.join(good, "session_id", "left").filter(F.col("__ok").isNull() | (F.col("__ok") < F.col("last_error_at")))
-    return live.orderBy(F.col("at").desc(), "session_id", "capture_path").limit(1).select("session_id", "capture_path", "last_error", "last_error_at")
+    row = F.struct("session_id", "capture_path", "last_error", "last_error_at")
+    newest = F.struct(F.col("at"), -F.xxhash64("session_id", "capture_path").cast("decimal(20,0)")) if by != "session_id" else F.struct(F.col("at"), "capture_path")
+    return live.groupBy(F.col(by).alias("__by")).agg(F.max_by(row, newest).alias("r")).select("r.*")
 
 
 def credential_state(rows: DataFrame, now: int) -> DataFrame:

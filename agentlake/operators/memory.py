@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 MEMORY_TYPES = {"facts": "fact", "artifacts": "artifact", "episodes": "episode", "documents": "document"}
-DEFAULT_TOP_K, MAX_TOP_K = 8, 50
+DEFAULT_TOP_K = 8
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -24,8 +24,7 @@ def of_type(items: DataFrame, memory_type: str) -> DataFrame:
 
 def search(items: DataFrame, score: Column, memory_type: str = "all", top_k: int = DEFAULT_TOP_K) -> DataFrame:
     """The k best items by score; a top-k per partition, then one small merge."""
-    k = min(top_k, MAX_TOP_K)
-    return of_type(items, memory_type).withColumn("score", score).orderBy(F.col("score").desc(), "id").limit(k)
+    return of_type(items, memory_type).withColumn("score", score).orderBy(F.col("score").desc(), "id").limit(top_k)
 
 
 def search_both(items: DataFrame, score: Column, brain: str, memory_type: str = "all", top_k: int = DEFAULT_TOP_K) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from agentlake.functions import text as T
 from agentlake.functions import values as V
@@ -25,13 +28,27 @@ def inert_batches(records: DataFrame, keys: tuple[str, ...] = ("session_id", "ba
     )
 
 
+def _last_keys(text: str | None) -> str | None:
+    """JSON text with the last of equal keys in every object."""
+    try:
+        return None if text is None else json.dumps(json.loads(text), ensure_ascii=False)
+    except ValueError:
+        return None
+
+
+last_keys = F.udf(_last_keys, StringType(), useArrow=True)
+
+
 def redact_records(records: DataFrame, col: str = "v") -> DataFrame:
-    """F04 on a VARIANT column: values and keys. When redaction makes two keys equal the
-    text no longer parses; the record then stays as it was and says so."""
-    text = F.to_json(F.col(col))
-    redacted = F.try_parse_json(T.redact_json(text))
-    failed = F.col(col).isNotNull() & redacted.isNull()
-    return records.withColumn("redaction_failed", failed).withColumn(col, F.coalesce(redacted, F.col(col)))
+    """F04 on a VARIANT column: values and keys. When redaction makes two keys equal, the last
+    one stays. A record that cannot be read again (``redaction_failed``) becomes null: the
+    raw record is never passed on."""
+    text = T.redact_json(F.to_json(F.col(col)))
+    parsed = records.withColumn("__text", text).withColumn("__v", F.try_parse_json("__text"))
+    # nearly always null, so the helper gets nothing to do
+    again = F.try_parse_json(last_keys(F.when(F.col("__v").isNull(), F.col("__text"))))
+    out = parsed.withColumn("__v", F.coalesce("__v", again)).withColumn("redaction_failed", F.col(col).isNotNull() & F.col("__v").isNull())
+    return out.withColumn(col, F.col("__v")).drop("__v", "__text")
 
 
 def session_meta(records: DataFrame) -> DataFrame:

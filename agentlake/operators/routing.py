@@ -146,12 +146,11 @@ def reroute(imports: DataFrame, replies: DataFrame) -> tuple[DataFrame, DataFram
     return resend, forget
 
 
-def match_brain(names: DataFrame, brains: DataFrame, near: int = 2) -> DataFrame:
+def match_brain(names: DataFrame, brains: DataFrame, near: int | None = None) -> DataFrame:
     """Exact name match; a name without one gets near candidates, never a pick.
 
-    Near means the same base name (last path segment, letter case aside). Only the first
-    ``near`` brains per base name are shown next to their full count, so the candidate side
-    is cut per base name before it is joined."""
+    Near means the same base name (last path segment, letter case aside). All such brains are
+    candidates; ``near`` shows only the first so many of a base name next to their count."""
     hit = (
         names.select("name").distinct()
         .join(brains.select(F.col("brain_name").alias("name"), "brain_id"), "name")
@@ -163,7 +162,7 @@ def match_brain(names: DataFrame, brains: DataFrame, near: int = 2) -> DataFrame
     known = brains.select("brain_name").distinct().withColumn("base", base(F.col("brain_name")))
     counts = known.groupBy("base").agg(F.count(F.lit(1)).alias("candidates"))
     w = Window.partitionBy("base").orderBy("brain_name")
-    first = known.withColumn("__k", F.row_number().over(w)).filter(F.col("__k") <= near).drop("__k")
+    first = known if near is None else known.withColumn("__k", F.row_number().over(w)).filter(F.col("__k") <= near).drop("__k")
     shown = rest.join(first.join(counts, "base"), "base", "left")
     one = F.col("brain_id") == F.col("__hi")
     exact_rows = hit.select(

@@ -150,7 +150,7 @@ def _(v):
     return P.scope_repo(e, v.sql(_ROOTS)).select("event_id", "repo")
 
 
-@query("d10_reactive_calls", f"SELECT event_id, trim(right(response, 1500)) AS error, lower(concat(coalesce(file_path, command), ' ', trim(right(response, 1500)))) AS hay FROM v_hook WHERE {ERROR_SQL.format('right(response, 1500)')}")
+@query("d10_reactive_calls", f"SELECT event_id, trim(response) AS error, lower(concat(coalesce(file_path, command), ' ', trim(response))) AS hay FROM v_hook WHERE {ERROR_SQL.format('response')}")
 def _(v):
     r = D.reactive_calls(v.hook)
     return r.select("event_id", "error", D.haystack(F.coalesce("file_path", "command"), F.col("error")).alias("hay"))
@@ -175,12 +175,12 @@ def _(v):
 
 @query(
     "d13_prune_firings",
-    """WITH k AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY ts_s DESC, event_id DESC) AS k, max(ts_s) OVER (PARTITION BY session_id) AS last FROM v_hook)
-    SELECT session_id, event_id FROM k WHERE k <= 20 AND last >= (SELECT max(ts_s) FROM v_hook) - 3600*6""",
+    """WITH k AS (SELECT *, max(ts_s) OVER (PARTITION BY session_id) AS last FROM v_hook)
+    SELECT session_id, event_id FROM k WHERE last >= (SELECT max(ts_s) FROM v_hook) - 3600*6""",
 )
 def _(v):
     now = v.hook.agg(F.max("ts_s")).first()[0]
-    return D.prune_firings(v.hook, now, keep=20, max_age_s=3600 * 6).select("session_id", "event_id")
+    return D.prune_firings(v.hook, now, max_age_s=3600 * 6).select("session_id", "event_id")
 
 
 @query(

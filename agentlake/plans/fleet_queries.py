@@ -192,7 +192,7 @@ def _(v):
     return M.search(items(v), F.round(M.cosine(F.col("embedding"), query_vector(v, 0)), 6)).select("id", "type", "score")
 
 
-@query("m01_search_artifacts", f"WITH {_ITEMS_SQL}, {_cos_sql(0)} SELECT id, type, round(score, 6) AS score FROM items JOIN s0 USING (id) WHERE type = 'artifact' ORDER BY round(score, 6) DESC, id LIMIT 50")
+@query("m01_search_artifacts", f"WITH {_ITEMS_SQL}, {_cos_sql(0)} SELECT id, type, round(score, 6) AS score FROM items JOIN s0 USING (id) WHERE type = 'artifact' ORDER BY round(score, 6) DESC, id LIMIT 90")
 def _(v):
     return M.search(items(v), F.round(M.cosine(F.col("embedding"), query_vector(v, 0)), 6), "artifacts", 90).select("id", "type", "score")
 

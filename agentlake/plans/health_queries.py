@@ -179,9 +179,9 @@ def _state(v):
     f"""WITH w AS (SELECT *, {_KIND} AS kind FROM v_attempts),
     s AS (SELECT session_id, capture_path, max(ts_s) AS at_, max(ts_s) FILTER (WHERE kind = 'ok') AS last_ok_at, arg_max(kind, ts_s) FILTER (WHERE kind NOT IN ('ok', 'local', 'unsupported')) AS last_error,
       max(ts_s) FILTER (WHERE kind NOT IN ('ok', 'local', 'unsupported')) AS last_error_at FROM w GROUP BY 1, 2),
-    n AS (SELECT * FROM s ORDER BY at_ DESC, session_id, capture_path LIMIT 40)
-    SELECT session_id, capture_path, last_error, last_error_at FROM n WHERE last_error IS NOT NULL AND last_error_at >= {LAST_SQL} - 86400
-      AND NOT EXISTS (SELECT 1 FROM s o WHERE o.session_id = n.session_id AND o.last_ok_at >= n.last_error_at) ORDER BY at_ DESC, session_id, capture_path LIMIT 1""",
+    n AS (SELECT * FROM s WHERE last_error IS NOT NULL AND last_error_at >= {LAST_SQL} - 86400
+      AND NOT EXISTS (SELECT 1 FROM s o WHERE o.session_id = s.session_id AND o.last_ok_at >= s.last_error_at))
+    SELECT session_id, capture_path, last_error, last_error_at FROM n QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY at_ DESC, capture_path DESC) = 1""",
 )
 def _(v):
     now = v.attempts.agg(F.max("ts_s")).first()[0]

@@ -175,9 +175,9 @@ def _(v):
     """WITH n AS (SELECT DISTINCT concat(CASE WHEN c_custkey % 2 = 0 THEN 'Repo: o/r' ELSE 'Repo: p/R' END, c_custkey % 80) AS name FROM customer),
     h AS (SELECT name, min(brain_id) AS lo, max(brain_id) AS hi FROM n JOIN v_listings ON brain_name = name GROUP BY name),
     k AS (SELECT DISTINCT brain_name, lower(split_part(brain_name, '/', -1)) AS base FROM v_listings),
-    r AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY brain_name) AS k, count(*) OVER (PARTITION BY base) AS candidates FROM k)
+    r AS (SELECT *, count(*) OVER (PARTITION BY base) AS candidates FROM k)
     SELECT name, CASE WHEN lo = hi THEN 'exact' ELSE 'ambiguous' END AS state, CASE WHEN lo = hi THEN lo END AS brain_id, NULL AS candidate, 0 AS candidates FROM h
-    UNION ALL SELECT name, CASE WHEN brain_name IS NULL THEN 'none' ELSE 'near' END, NULL, brain_name, coalesce(candidates, 0) FROM n LEFT JOIN r ON r.base = lower(split_part(name, '/', -1)) AND k <= 2
+    UNION ALL SELECT name, CASE WHEN brain_name IS NULL THEN 'none' ELSE 'near' END, NULL, brain_name, coalesce(candidates, 0) FROM n LEFT JOIN r ON r.base = lower(split_part(name, '/', -1))
       WHERE name NOT IN (SELECT name FROM h)""",
 )
 def _(v):

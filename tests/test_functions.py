@@ -142,3 +142,42 @@ def test_tool_values(spark):
     assert out == ['{"a":1}', '{"input":[1]}', '{"input":"x y"}', '{"b":2}', "{}", '{"input":"raw"}']
     usage = each(spark, ['{"usage":{"inputTokens":3}}', '{"usage":{"inputTokens":true}}', '{"usage":{"inputTokens":3.5}}', '{"x":1}'], lambda c: V.cursor_usage(F.parse_json(c))["input_tokens"])
     assert usage == [3, None, None, None]
+
+
+def test_redaction_behind_any_escapes(spark):
+    texts = []
+    for n in range(61):
+        for tail in ("", "n", "u2014", '"', "u006dhk_" if n % 2 else ""):
+            if n % 2 or tail != '"':
+                texts.append('{"a":{"' + "\\" * n + (tail if n % 2 else "") + ("" if n % 2 and tail else " ") + KEY + '":[1]}}')
+    texts += ['{"a":"' + KEY.replace("_", "\\u005f") + '"}', '{"a":"' + KEY[:9] + "\\u0061" + KEY[9:] + '"}']
+    import json
+
+    def valid(t):
+        try:
+            json.loads(t)
+            return True
+        except ValueError:
+            return False
+
+    texts = [t for t in texts if valid(t)]
+    assert len(texts) > 100
+    got = each(spark, texts, T.redact_json)
+    for before, after in zip(texts, got):
+        assert KEY not in str(json.loads(after)) and KEY[4:] not in after, before
+    assert each(spark, texts, T.json_contains_secret) == [True] * len(texts)
+    assert each(spark, got, T.json_contains_secret) == [False] * len(texts)
+
+
+def test_no_cut_hides_a_match(spark):
+    assert each(spark, ["echo " + "x" * 20_000 + " && git commit"], lambda c: C.is_milestone(c, "agent")) == [True]
+    assert each(spark, ["Traceback (most recent call last)\n" + "log\n" * 5000], C.error_gate) == [True]
+    assert each(spark, ["true " * 3000 + "; rm x"], C.is_mutating) == [True]
+
+
+def test_failure_behind_many_newer_rows(spark):
+    from agentlake.operators import health as H
+
+    rows = [("s0", "turn", 1000, None, "timeout", 1000)] + [(f"s{i}", "turn", 2000 + i, 2000 + i, None, None) for i in range(1, 60)]
+    state = spark.createDataFrame(rows, "session_id string, capture_path string, at long, last_ok_at long, last_error string, last_error_at long")
+    assert [r.session_id for r in H.recent_failure(state, 3000).collect()] == ["s0"]
