@@ -18,7 +18,8 @@ from agentlake.operators import titles as TI
 from agentlake.operators.ordered import Running, running
 from agentlake.plans.expand import fill, spark_expand, sql_expand
 from agentlake.plans.registry import query
-from agentlake.plans.session_queries import SLICE_BUDGET, SLICES_SQL, TITLES_SQL, _TITLE_AGGS, REDACT_SQL, sized
+from agentlake.operators import imports as IM
+from agentlake.plans.session_queries import CLEAN_SLICES_SQL, REDACT_SQL, SLICE_BUDGET, TITLES_SQL, _TITLE_AGGS
 from agentlake.plans.views import Views
 from agentlake.session import scratch_folder
 from agentlake.sources import state as ST
@@ -726,20 +727,18 @@ def _(v):
 
 @query(
     "s12_build_imports",
-    f"""WITH RECURSIVE {TITLES_SQL}, {SLICES_SQL}, parts AS (SELECT session_id, {_TITLE_AGGS} FROM prompts GROUP BY session_id)
-    SELECT concat('codex-', session_id) AS conversation_id, slice, count(*) AS messages, arg_min(seq, seq) AS first_seq, arg_max(seq, seq) AS last_seq,
-      any_value({REDACT_SQL.format('coalesce(c, g, p)')}) AS title, 'codex' AS source_platform, 'now' AS "flush" FROM cut JOIN parts USING (session_id) GROUP BY session_id, slice""",
+    f"""WITH RECURSIVE {TITLES_SQL}, {CLEAN_SLICES_SQL}, parts AS (SELECT session_id, {_TITLE_AGGS} FROM prompts GROUP BY session_id)
+    SELECT concat('codex-', session_id) AS conversation_id, slice, count(*) AS messages, string_agg({REDACT_SQL.format('r.text')}, chr(10) ORDER BY seq) AS bodies,
+      any_value({REDACT_SQL.format('coalesce(c, g, p)')}) AS title, 'codex' AS source_platform, 'now' AS "flush"
+    FROM cut JOIN v_records r USING (session_id, seq) JOIN parts USING (session_id) GROUP BY session_id, slice""",
 )
 def _(v):
-    sl = SL.slices(sized(v), SLICE_BUDGET)
-    sessions = TI.session_title(v.records).select(
-        "session_id", "title", F.lit("codex").alias("host"), F.lit(None).cast("string").alias("brain_id"), F.lit(None).cast("string").alias("org_id"), F.lit("ns").alias("namespace")
-    )
-    out = ST.build_imports(v.records.withColumn("record", F.col("seq").cast("string")), sl, sessions)
-    return out.select(
-        "conversation_id", "slice", F.size("messages").alias("messages"), F.get("messages", F.lit(0)).cast("long").alias("first_seq"),
-        F.element_at("messages", -1).cast("long").alias("last_seq"), "title", "source_platform", "flush",
+    sessions = v.records.select("session_id").distinct().select(
+        "session_id", F.lit("codex").alias("host"), F.lit(None).cast("string").alias("brain_id"), F.lit(None).cast("string").alias("org_id"), F.lit("ns").alias("namespace")
     )
+    out = IM.session_imports(v.records, sessions, SLICE_BUDGET)
+    bodies = F.array_join(F.transform("messages", lambda m: F.get_json_object(m, "$.text")), "\n")
+    return out.select("conversation_id", "slice", F.size("messages").alias("messages"), bodies.alias("bodies"), "title", "source_platform", "flush")
 
 
 @query("s13_platform_check", "SELECT CASE event_id % 4 WHEN 0 THEN 'claude' WHEN 1 THEN 'codex' WHEN 2 THEN 'cursor' ELSE 'other' END AS platform, event_id % 4 < 3 AS known, count(*) AS n FROM events GROUP BY ALL")

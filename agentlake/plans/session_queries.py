@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from agentlake.functions import text as T
 from agentlake.functions import values as V
+from agentlake.operators import imports as IM
 from agentlake.operators import records as R
 from agentlake.operators import reports as RP
 from agentlake.operators import slices as SL
@@ -154,6 +155,11 @@ cut AS (
   FROM cut c JOIN sized s ON s.session_id = c.session_id AND s.pos = c.pos + 1)"""
 
 
+# The import pipeline slices what is left after filter and redaction.
+_CLEAN = REDACT_SQL.format("text")
+CLEAN_SLICES_SQL = SLICES_SQL.replace("FROM v_records", f"FROM (SELECT * REPLACE ({_CLEAN} AS text) FROM v_records WHERE NOT coalesce({WRAPPER_SQL}, false)) clean")
+
+
 @query("w07_slices", f"WITH RECURSIVE {SLICES_SQL} SELECT session_id, seq, size, slice FROM cut")
 def _(v):
     return SL.slices(sized(v), SLICE_BUDGET)
@@ -210,36 +216,19 @@ def _(v):
         .agg(F.count(F.lit(1)).alias("records_new"))
         .withColumns({"pending": F.col("batch"), "draining": F.col("batch") % 3 == 0})
     )
-    wrapper = T.is_command_wrapper(F.col("type"), F.col("text"))
-    sent = batched(v).groupBy("session_id", "batch").agg(
-        F.count_if(~wrapper).alias("sent"),
-        F.count_if(wrapper).alias("filtered"),
-        F.sum(V.record_size(F.col("text"))).alias("byte_span"),
-    )
-    return sent.join(replies, ["session_id", "batch"], "left").select(
-        "session_id", "batch", "sent", "filtered", "byte_span", "records_new", "pending", "draining"
-    )
+    return IM.flush_summary(batched(v), replies)
 
 
 @query(
     "w11_import_summary",
-    f"""WITH RECURSIVE {SLICES_SQL}, n AS (SELECT session_id, max(slice) AS slices FROM cut GROUP BY session_id)
-    SELECT session_id, count(*) FILTER (WHERE NOT {WRAPPER_SQL}) AS records, count(*) FILTER (WHERE {WRAPPER_SQL}) AS dropped,
-      sum({SIZE_SQL.format('text')} + 64) AS bytes, sum({SIZE_SQL.format('text')} + 64) // 4 AS about_tokens,
-      any_value(slices) AS slices, arg_min(cwd, seq) FILTER (WHERE cwd IS NOT NULL) AS destination
-    FROM v_records JOIN n USING (session_id) GROUP BY session_id""", longs=('bytes', 'about_tokens'),
+    f"""WITH RECURSIVE {CLEAN_SLICES_SQL}, n AS (SELECT session_id, max(slice) AS slices FROM cut GROUP BY session_id)
+    SELECT session_id, count(*) FILTER (WHERE NOT coalesce({WRAPPER_SQL}, false)) AS records, count(*) FILTER (WHERE {WRAPPER_SQL}) AS dropped,
+      coalesce(sum({SIZE_SQL.format(_CLEAN)} + 64) FILTER (WHERE NOT coalesce({WRAPPER_SQL}, false)), 0) AS bytes, coalesce(sum({SIZE_SQL.format(_CLEAN)} + 64) FILTER (WHERE NOT coalesce({WRAPPER_SQL}, false)), 0) // 4 AS about_tokens,
+      coalesce(any_value(slices), 0) AS slices, arg_min(cwd, seq) FILTER (WHERE cwd IS NOT NULL) AS destination
+    FROM v_records LEFT JOIN n USING (session_id) GROUP BY session_id""", longs=('bytes', 'about_tokens'),
 )
 def _(v):
-    wrapper = T.is_command_wrapper(F.col("type"), F.col("text"))
-    size = V.record_size(F.col("text")) + 64
-    per = v.records.groupBy("session_id").agg(
-        F.count_if(~wrapper).alias("records"),
-        F.count_if(wrapper).alias("dropped"),
-        F.sum(size).alias("bytes"),
-        F.min_by("cwd", F.when(F.col("cwd").isNotNull(), F.col("seq"))).alias("destination"),
-    )
-    n = SL.slices(sized(v), SLICE_BUDGET).groupBy("session_id").agg(F.max("slice").alias("slices"))
-    return per.join(n, "session_id").withColumn("about_tokens", F.floor(F.col("bytes") / 4))
+    return IM.import_summary(v.records, SLICE_BUDGET).drop("redacted")
 
 
 @query(
@@ -384,17 +373,11 @@ def _(v):
 
 @query(
     "session_summary",
-    f"""WITH RECURSIVE {TITLES_SQL}, {SLICES_SQL}, n AS (SELECT session_id, max(slice) AS slices FROM cut GROUP BY session_id),
-    parts AS (SELECT session_id, {_TITLE_AGGS}, count(*) AS records, count(*) FILTER (WHERE wrapper) AS wrappers_dropped,
-      count(*) FILTER (WHERE regexp_matches(text, '\\b(?:mhk|xtk)_[A-Za-z0-9_\\-]{{16,}}')) AS redacted FROM prompts GROUP BY session_id)
-    SELECT session_id, records, wrappers_dropped, redacted, {REDACT_SQL.format('coalesce(c, g, p)')} AS title, slices FROM parts JOIN n USING (session_id)""",
+    f"""WITH RECURSIVE {TITLES_SQL}, {CLEAN_SLICES_SQL}, n AS (SELECT session_id, max(slice) AS slices FROM cut GROUP BY session_id),
+    parts AS (SELECT session_id, {_TITLE_AGGS}, count(*) FILTER (WHERE NOT coalesce(wrapper, false)) AS records, count(*) FILTER (WHERE wrapper) AS wrappers_dropped,
+      count(*) FILTER (WHERE NOT coalesce(wrapper, false) AND regexp_matches(text, '\\b(?:mhk|xtk)_[A-Za-z0-9_\\-]{{16,}}')) AS redacted FROM prompts GROUP BY session_id)
+    SELECT session_id, records, wrappers_dropped, redacted, {REDACT_SQL.format('coalesce(c, g, p)')} AS title, coalesce(slices, 0) AS slices FROM parts LEFT JOIN n USING (session_id)""",
 )
 def session_summary(v):
     """The flagship query: filter, redact, title, slice and summarize every session."""
-    per = v.records.groupBy("session_id").agg(
-        F.count(F.lit(1)).alias("records"),
-        F.count_if(T.is_command_wrapper(F.col("type"), F.col("text"))).alias("wrappers_dropped"),
-        F.count_if(T.contains_secret(F.col("text"))).alias("redacted"),
-    )
-    n = SL.slices(sized(v), SLICE_BUDGET).groupBy("session_id").agg(F.max("slice").alias("slices"))
-    return per.join(TI.session_title(v.records), "session_id").join(n, "session_id")
+    return IM.session_overview(v.records, SLICE_BUDGET)
