@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from agentlake.functions.text import strip_ws
+
 # Fixed value: the RFC 4122 URL namespace.
 URL_NAMESPACE = "6ba7b8119dad11d180b400c04fd430c8"
 UUID_SHAPE = r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
@@ -69,7 +71,7 @@ def cursor_session_id(session_id: Column, conversation: Column, transcript: Colu
     parent = F.element_at(F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), F.lit(1)), 1)
     stem = F.regexp_replace(F.element_at(parts, -1), r"(?<=.)\.[^.]*$", "")
     return (
-        F.when(F.trim(given) != "", F.trim(given))
+        F.when(strip_ws(given) != "", strip_ws(given))
         .when((F.size(parts) > 1) & parent.rlike(rf"\A{UUID_SHAPE}\z"), parent)
         .when(stem.rlike(rf"\A{UUID_SHAPE}\z"), stem)
     )
@@ -81,7 +83,7 @@ def is_uuid(col: Column) -> Column:
 
 def room_name(remote: Column) -> Column:
     """last two path segments of a remote, letter case kept; null when empty."""
-    base = F.regexp_replace(F.regexp_replace(F.trim(remote), r"/+$", ""), r"\.git$", "")
+    base = F.regexp_replace(F.regexp_replace(strip_ws(remote), r"/+$", ""), r"\.git$", "")
     path = F.when(base.contains(":") & ~base.contains("//"), F.substring_index(base, ":", -1)).otherwise(base)
     segs = F.filter(F.split(path, "/"), lambda s: s != "")
     tail = F.slice(segs, F.greatest(F.size(segs) - 1, F.lit(1)), F.lit(2))
@@ -96,7 +98,7 @@ def room_name_local(common_dir: Column) -> Column:
 
 def namespace(remote: Column) -> Column:
     """base name of a remote, null when unknown."""
-    base = F.substring_index(F.regexp_replace(F.trim(remote), r"/+$", ""), "/", -1)
+    base = F.substring_index(F.regexp_replace(strip_ws(remote), r"/+$", ""), "/", -1)
     return F.nullif(F.regexp_replace(base, r"\.git$", ""), F.lit(""))
 
 
@@ -120,7 +122,7 @@ def cwd_ok(cwd: Column) -> Column:
 
 def handle_key(tool: Column, handle: Column, cwd: Column) -> Column:
     """readable head plus digest of the whole normalized handle; null without one."""
-    norm = F.trim(F.regexp_replace(handle, r"(?U)\s+", " "))
+    norm = strip_ws(F.regexp_replace(handle, r"(?U)\s+", " "))
     digest = F.substring(F.sha2(norm, 256), 1, 16)
     return F.when(
         handle != "",
@@ -150,7 +152,7 @@ CURSOR_EVENTS = (
 
 
 def _given(c: Column) -> Column:
-    return F.coalesce(F.trim(c) != "", F.lit(False))
+    return F.coalesce(strip_ws(c) != "", F.lit(False))
 
 
 def is_cursor_event(
@@ -167,7 +169,7 @@ def is_cursor_event(
     hit = (
         _given(version)
         | F.coalesce(F.replace(transcript, F.lit("\\"), F.lit("/")).contains("/.cursor/"), F.lit(False))
-        | (F.coalesce(F.lower(F.trim(event)).isin(*CURSOR_EVENTS), F.lit(False)) & (marks >= 2))
+        | (F.coalesce(F.lower(strip_ws(event)).isin(*CURSOR_EVENTS), F.lit(False)) & (marks >= 2))
     )
     return hit if env_marker is None else hit | F.coalesce(env_marker, F.lit(False))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from agentlake.functions.text import strip_ws
+
 
 def kind(v: Column) -> Column:
     """Variant kind: object, array, string, integer, boolean, other, null (JSON) or SQL null."""
@@ -205,7 +207,7 @@ def overview_text(structured: Column, texts: Column) -> Column:
     envelope = F.try_parse_json(first)
     own = F.when(is_kind(structured, "object"), pick(structured))
     return (
-        F.when(F.trim(own) != "", own)
+        F.when(strip_ws(own) != "", own)
         .when(is_kind(envelope, "object"), F.coalesce(pick(envelope), F.lit("")))
         .otherwise(F.coalesce(first, F.lit("")))
     )

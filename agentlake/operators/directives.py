@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from agentlake.functions.text import strip_ws
 from agentlake.functions import commands as C
 from agentlake.functions import values as V
 from agentlake.session import materialize
@@ -34,7 +35,7 @@ _FREE = ""  # carried by directives without triggers, hit by every call
 
 def trigger_tokens(trigger: Column) -> Column:
     """The concrete tokens of one trigger."""
-    t = F.replace(F.lower(F.trim(trigger)), F.lit("\\"), F.lit("/"))
+    t = F.replace(F.lower(strip_ws(trigger)), F.lit("\\"), F.lit("/"))
     base = F.substring_index(t, "/", -1)
     stem = F.regexp_replace(base, r"\.[^.]*$", "")
     pathlike = t.contains("/") | t.contains(".")
@@ -224,7 +225,7 @@ def render_directives(ranked: DataFrame) -> DataFrame:
     """D12 on (call_id, rank, type, content, trigger, triggers, as_of, seen): one block per
     call. A call holds at most k rows."""
     anchor = F.coalesce(
-        F.concat(F.lit("fired on: "), F.nullif(F.trim("trigger"), F.lit(""))),
+        F.concat(F.lit("fired on: "), F.nullif(strip_ws(F.col("trigger")), F.lit(""))),
         F.concat(F.lit("triggers: "), F.nullif(F.array_join(F.slice("triggers", F.lit(1), F.lit(4)), ", "), F.lit(""))),
     )
     notes = F.concat_ws(
@@ -234,7 +235,7 @@ def render_directives(ranked: DataFrame) -> DataFrame:
         F.when(F.col("seen") > 1, F.concat(F.lit("seen "), F.col("seen").cast("string"), F.lit("×"))),
     )
     line = F.concat(
-        F.lit("- **["), F.upper("type"), F.lit("]** "), F.trim("content"),
+        F.lit("- **["), F.upper("type"), F.lit("]** "), strip_ws(F.col("content")),
         F.when(notes != "", F.concat(F.lit("  _("), notes, F.lit(")_"))).otherwise(F.lit("")),
     )
     lines = F.transform(F.sort_array(F.collect_list(F.struct("rank", line.alias("line")))), lambda x: x["line"])
@@ -251,7 +252,7 @@ def prune_firings(firings: DataFrame, now: int, keep: int | None = None, max_age
 
 def merge_context(rows: DataFrame) -> DataFrame:
     """The contexts of an event's few sources in source order, blank ones dropped."""
-    kept = rows.filter(F.coalesce(F.trim("context"), F.lit("")) != "")
+    kept = rows.filter(F.coalesce(strip_ws(F.col("context")), F.lit("")) != "")
     parts = F.transform(F.sort_array(F.collect_list(F.struct("source", "context"))), lambda x: x["context"])
     return kept.groupBy("event_id").agg(F.array_join(parts, "\n\n").alias("context"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from agentlake.functions.text import strip_ws
 from agentlake.functions import commands as C
 from agentlake.functions import ids as I
 from agentlake.functions import times as TM
@@ -30,8 +31,8 @@ def codex_session_id(events: DataFrame, catalog: DataFrame) -> DataFrame:
     by_path = known.select(F.col("path").alias("transcript_path"), F.col("stored").alias("from_path"))
     by_id = known.groupBy(F.col("stored").alias("session_id")).agg(F.count(F.lit(1)).alias("files"))
     out = events.join(by_path, "transcript_path", "left").join(by_id, "session_id", "left")
-    tp = F.coalesce(F.trim("transcript_path") != "", F.lit(False))
-    sid = F.coalesce(F.trim("session_id") != "", F.lit(False))
+    tp = F.coalesce(strip_ws(F.col("transcript_path")) != "", F.lit(False))
+    sid = F.coalesce(strip_ws(F.col("session_id")) != "", F.lit(False))
     status = (
         F.when(tp & F.col("from_path").isNull(), "refused")
         .when(tp & sid & (F.col("from_path") != F.col("session_id")), "refused")
@@ -59,8 +60,8 @@ def flush_due_claude(
     """Per-turn gate. No readable cursor yet means flush; otherwise any size change."""
     n = offset.try_cast("long")
     out = (
-        F.when(_n(F.trim(session_id), "") == "", False)
-        .when(_n(F.trim(transcript), "") == "", False)
+        F.when(_n(strip_ws(session_id), "") == "", False)
+        .when(_n(strip_ws(transcript), "") == "", False)
         .when(_n(size) <= 0, False)
         .when(F.coalesce(in_flight, F.lit(False)), False)
         .when(n.isNull(), True)

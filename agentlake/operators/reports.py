@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agentlake.functions.text import strip_ws
 from agentlake.functions import text as T
 from agentlake.operators.ordered import Running, running
 
@@ -15,7 +16,7 @@ def wrapper_share(records: DataFrame) -> DataFrame:
     users = records.filter(F.col("type") == "user")
     return users.agg(
         F.count_if(wrapper).alias("wrappers"),
-        F.count_if(F.trim("text") != "").alias("text_users"),
+        F.count_if(strip_ws(F.col("text")) != "").alias("text_users"),
         F.count(F.lit(1)).alias("users"),
     ).withColumns(
         {

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agentlake.functions import ids as I
+from agentlake.functions.text import strip_ws
 from agentlake.functions import values as V
 from agentlake.operators.ordered import Running, running
 
@@ -60,7 +61,7 @@ def parse_jsonl(lines: DataFrame, key: str = "path") -> tuple[DataFrame, DataFra
     counted; a file fails only when none of its lines parses."""
     v = F.try_parse_json(F.col("raw"))
     ready = lines.withColumn("v", v)
-    blank = F.trim("raw") == ""
+    blank = strip_ws(F.col("raw")) == ""
     counts = ready.groupBy(key).agg(
         F.count_if(F.col("v").isNotNull() & ~blank).alias("records"),
         F.count_if(F.col("v").isNull() & ~blank).alias("malformed"),
