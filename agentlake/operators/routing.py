@@ -65,17 +65,23 @@ def resolve_brains(repos: DataFrame, listings: DataFrame, orgs_known: bool = Tru
     """J03 on repos (room_name) and listing rows (org_id, org_name, applied_org_name, ok,
     rank, brain_id, brain_name): commit, backoff, refuse or miss.
 
-    The match is one equi join on the name; whether every listing answered is one value for
-    the whole pass."""
+    With a column ``account`` on both sides each account is decided by its own listings alone;
+    without it the pass is one account's. The match is one equi join on the name; whether every
+    listing of an account answered is one row per account."""
+    account = ["account"] if "account" in repos.columns and "account" in listings.columns else []
     rows = scope_guard(listings)
-    listings_ok = rows.agg(F.coalesce(F.bool_and("ok"), F.lit(True))).scalar()
     good = F.col("ok") & (F.coalesce("brain_id", F.lit("")) != "")
-    hits = rows.filter(good).groupBy(F.col("brain_name").alias("room_name")).agg(
+    hits = rows.filter(good).groupBy(*account, F.col("brain_name").alias("room_name")).agg(
         F.min("brain_id").alias("lo"),
         F.max("brain_id").alias("hi"),
         F.min_by("attributed_org", F.when(F.col("attributed_org").isNotNull(), F.col("rank"))).alias("org"),
     )
-    out = repos.join(hits, "room_name", "left").withColumn("listings_ok", listings_ok)
+    out = repos.join(hits, [*account, "room_name"], "left")
+    if account:
+        answered = rows.groupBy("account").agg(F.bool_and("ok").alias("listings_ok"))
+        out = out.join(answered, "account", "left").withColumn("listings_ok", F.coalesce("listings_ok", F.lit(True)))
+    else:
+        out = out.withColumn("listings_ok", rows.agg(F.coalesce(F.bool_and("ok"), F.lit(True))).scalar())
     one = F.col("lo") == F.col("hi")
     decision = (
         F.when(F.col("lo").isNotNull() & one & F.col("listings_ok"), "commit")

@@ -92,6 +92,21 @@ def _(v):
     return RT.resolve_brains(_repos(v), _listings(v)).select("c_custkey", "decision", "brain_id", "org_id")
 
 
+@query(
+    "j03_resolve_brains_by_account",
+    f"""WITH g AS (SELECT *, org_id % 3 AS account FROM ({_GUARDED}) x),
+    h AS (SELECT account, brain_name, min(brain_id) AS lo, max(brain_id) AS hi, arg_min(attributed, CASE WHEN is_default THEN 0 ELSE 1000 END + org_id) FILTER (WHERE attributed IS NOT NULL) AS org FROM g WHERE good GROUP BY 1, 2),
+    a AS (SELECT account, bool_and(good) AS listings_ok FROM g GROUP BY 1), d AS (SELECT c_custkey, lo, org,
+      CASE WHEN lo = hi AND coalesce(listings_ok, true) THEN 'commit' WHEN NOT coalesce(listings_ok, true) THEN 'backoff' WHEN lo IS NOT NULL THEN 'refuse' ELSE 'miss' END AS decision
+      FROM customer LEFT JOIN h ON h.brain_name = concat('Repo: o/r', c_custkey % 80) AND h.account = c_custkey % 4 LEFT JOIN a ON a.account = c_custkey % 4)
+    SELECT c_custkey, decision, CASE WHEN decision = 'commit' THEN lo END AS brain_id, CASE WHEN decision = 'commit' THEN org END AS org_id FROM d""",
+)
+def _(v):
+    repos = _repos(v).withColumn("account", F.col("c_custkey") % 4)
+    out = RT.resolve_brains(repos, _listings(v).withColumn("account", F.col("org_id") % 3))
+    return out.select("c_custkey", "decision", "brain_id", "org_id")
+
+
 @query("j04_scope_guard", f"SELECT org_id, brain_id, brain_name, good AS ok, attributed AS attributed_org, count(*) AS n FROM ({_GUARDED}) GROUP BY ALL")
 def _(v):
     return RT.scope_guard(_listings(v)).groupBy("org_id", "brain_id", "brain_name", "ok", "attributed_org").agg(F.count(F.lit(1)).alias("n"))

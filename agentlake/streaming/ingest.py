@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agentlake.operators.health import trusted_offset
 
+PARTS = 64  # partitions of a merge target
 DELTA = "session_id string, byte_start long, byte_end long, complete boolean, file_size long, raw string"
 
 
@@ -31,23 +33,36 @@ def reset_on_shrink(lines: DataFrame, cursors: DataFrame) -> DataFrame:
     return lines.join(at, "session_id").filter(F.col("complete") & (F.col("byte_start") >= F.col("__from"))).drop("__from")
 
 
-def merge_batch(batch: DataFrame, batch_id: int, target: str) -> None:
+def _stored(spark: SparkSession, target: str) -> DataFrame | None:
+    """What the target holds; None before the first write."""
+    try:
+        return spark.read.schema("conversation_id string, uuid string, seq long, source string, batch long, part int").parquet(f"{target}/records")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def merge_batch(batch: DataFrame, batch_id: int, target: str, source: str = "stream", parts: int = PARTS) -> None:
     """ST02: store the rows whose (conversation, uuid) is new; rows without a uuid are dropped
-    and counted. A batch owns its own folder and overwrites it, so a replayed batch gives the
-    same table."""
+    and counted.
+
+    A batch owns the folder of its writer (``source``) and number and overwrites it, so a
+    replayed batch gives the same table and no writer touches another's rows. Rows lie in
+    ``parts`` partitions by the hash of their conversation; only those a batch touches are read.
+    Writers of one target run one after another: two at once could both store a new row."""
     spark = batch.sparkSession
     rows = batch.filter(F.col("uuid").isNotNull()).dropDuplicates(["conversation_id", "uuid"])
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/records")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(path):
-        stored = spark.read.schema(
-            "conversation_id string, uuid string, batch long"
-        ).parquet(f"{target}/records").filter(F.col("batch") != batch_id)
-        rows = rows.join(stored.select("conversation_id", "uuid"), ["conversation_id", "uuid"], "left_anti")
-    rows.write.mode("overwrite").parquet(f"{target}/records/batch={batch_id}")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("conversation_id"), F.lit(parts)).cast("int"))
+    stored = _stored(spark, target)
+    if stored is not None:
+        touched = [r.part for r in rows.select("part").distinct().collect()]  # at most ``parts`` numbers
+        others = stored.filter(F.col("part").isin(touched) & ~((F.col("source") == source) & (F.col("batch") == batch_id)))
+        rows = rows.join(others.select("part", "conversation_id", "uuid"), ["part", "conversation_id", "uuid"], "left_anti")
+    rows.write.mode("overwrite").partitionBy("part").parquet(f"{target}/records/source={source}/batch={batch_id}")
     batch.groupBy("conversation_id").agg(
         F.count(F.lit(1)).alias("received"), F.count_if(F.col("uuid").isNull()).alias("dropped")
-    ).write.mode("overwrite").parquet(f"{target}/counts/batch={batch_id}")
+    ).write.mode("overwrite").parquet(f"{target}/counts/source={source}/batch={batch_id}")
 
 
 def import_merge(stream: DataFrame, target: str, checkpoint: str):
@@ -67,8 +82,8 @@ def acks(spark: SparkSession, target: str) -> DataFrame:
 
 
 def backstop(records: DataFrame, target: str, run_id: int) -> None:
-    """ST10: a whole session re-sent through the same merge."""
-    merge_batch(records, run_id, target)
+    """ST10: whole sessions re-sent through the same merge, as a writer of its own."""
+    merge_batch(records, run_id, target, source="backstop")
 
 
 def run_to_end(stream: DataFrame, out: str, checkpoint: str, mode: str = "append", timed: bool = False) -> DataFrame:

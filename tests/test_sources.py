@@ -73,3 +73,15 @@ def test_redaction_keeps_the_last_of_colliding_keys(spark):
     df = spark.createDataFrame([(json.dumps({k1: 1, k2: 2}),), (json.dumps({"x": k1}),)], "j string").select(F.parse_json("j").alias("v"))
     got = [(r.redaction_failed, r.t) for r in R.redact_records(df).select("redaction_failed", F.to_json("v").alias("t")).collect()]
     assert got == [(False, '{"mhk_<redacted>":2}'), (False, '{"x":"mhk_<redacted>"}')]
+
+
+def test_a_backstop_of_a_batch_number_keeps_the_batch(spark, tmp_path):
+    from agentlake.streaming import ingest as IN
+
+    rows = spark.createDataFrame([("c1", "u1", 1), ("c1", "u2", 2), ("c2", None, 1)], "conversation_id string, uuid string, seq long")
+    more = spark.createDataFrame([("c1", "u2", 2), ("c1", "u3", 3)], "conversation_id string, uuid string, seq long")
+    target = str(tmp_path / "t")
+    IN.merge_batch(rows, 0, target)
+    IN.backstop(more, target, 0)
+    IN.merge_batch(rows, 0, target)  # a replay
+    assert [tuple(r) for r in IN.acks(spark, target).collect()] == [("c1", "u3", 3)]
