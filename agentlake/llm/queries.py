@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agentlake.llm import oracles
 from agentlake.llm.ann import search
 from agentlake.llm.bpe_codec import encode_decode
 from agentlake.llm.decontaminate import decontaminate
@@ -19,7 +20,11 @@ from agentlake.llm.toxicity import toxicity
 from agentlake.llm.url_filter import filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_suffix_dedup": oracles.SUFFIX_DEDUP,
+    "op5_decontaminate": oracles.DECONTAMINATE,
+    "op6_substring_dedup": oracles.SUBSTRING_DEDUP,
+}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
