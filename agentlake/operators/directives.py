@@ -173,7 +173,7 @@ def recall(
         .groupBy("session_id", "scope", "token")
         .agg(F.count(F.lit(1)).alias("excluded"))
     )
-    deepest = excluded.agg(F.max("excluded")).first()[0] or 0
+    deepest = F.coalesce(excluded.agg(F.max("excluded")).scalar(), F.lit(0))
     per_token = tokens.groupBy("scope", "token", "id").agg(
         F.min_by(F.struct("trigger_pos", "trigger"), F.col("trigger_pos")).alias("t"), F.first("seen").alias("seen"), F.first("pos").alias("pos")
     )
@@ -185,13 +185,22 @@ def recall(
     own = materialize(
         calls.select("call_id", "session_id", F.coalesce("repo", F.lit("")).alias("repo"), "hay"), "calls"
     )
+
+    def open_to(asked: DataFrame) -> DataFrame:
+        """The directives of each asked (session, scope, token) that can still reach a top k."""
+        near = asked.join(excluded, ["session_id", "scope", "token"], "left").join(ranked, ["scope", "token"])
+        return near.filter(F.col("place") <= k + F.coalesce("excluded", F.lit(0))).join(out_of, ["session_id", "id"], "left_anti")
+
+    fields = ["call_id", "session_id", "id", "token", "t", "seen", "pos"]
     hits = token_hits(own, real)
-    by_hay = own.filter("hay <> ''").join(hits, ["repo", "hay"]).select("call_id", "session_id", "scope", "token")
-    scopes = F.explode(F.array_distinct(F.array("repo", F.lit("")))).alias("scope")
-    always = own.select("call_id", "session_id", scopes, F.when(F.col("hay") == "", F.lit(_ANY)).otherwise(F.lit(_FREE)).alias("token"))
-    asked = by_hay.unionByName(always).join(excluded, ["session_id", "scope", "token"], "left")
-    cand = asked.join(ranked, ["scope", "token"]).filter(F.col("place") <= k + F.coalesce("excluded", F.lit(0)))
-    cand = cand.join(out_of, ["session_id", "id"], "left_anti")
+    by_hay = open_to(own.filter("hay <> ''").join(hits, ["repo", "hay"]).select("call_id", "session_id", "scope", "token")).select(*fields)
+    # directives that need no hit: the k best once for each session and repo, then handed to its calls
+    kind = F.when(F.col("hay") == "", F.lit(_ANY)).otherwise(F.lit(_FREE)).alias("token")
+    asking = own.select("session_id", "repo", kind).distinct().withColumn("scope", F.explode(F.array_distinct(F.array("repo", F.lit("")))))
+    best_first = Window.partitionBy("session_id", "repo", "token").orderBy(F.col("seen").desc(), "pos", "id")
+    always = open_to(asking).withColumn("n", F.row_number().over(best_first)).filter(F.col("n") <= k)
+    always = own.select("call_id", "session_id", "repo", kind).join(always.drop("scope"), ["session_id", "repo", "token"]).select(*fields)
+    cand = by_hay.unionByName(always)
     size = F.when(F.col("token").isin(_FREE, _ANY), F.lit(0)).otherwise(F.length("token"))
     best = F.min_by(
         F.struct(size.alias("match_len"), F.col("t.trigger").alias("trigger"), "seen", "pos"),
