@@ -5,15 +5,20 @@ message. All results are built on ``sendable``; nothing else may feed a sink."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agentlake.functions import text as T
 from agentlake.functions import values as V
+from agentlake.operators import codex as CX
+from agentlake.operators import cursor as CU
 from agentlake.operators import records as R
 from agentlake.operators import slices as SL
 from agentlake.operators import titles as TI
 from agentlake.sources import state as ST
+from agentlake.sources import transcripts as TR
 
 ENVELOPE = 64  # bytes of a record besides its text
 
@@ -72,3 +77,30 @@ def session_imports(records: DataFrame, sessions: DataFrame, budget: int = SL.DE
     rows = sendable(records)
     body = rows.withColumn("record", F.to_json(F.struct("type", "text", "uuid")))
     return ST.build_imports(body, SL.slices(rows, budget), sessions.join(TI.session_title(records), "session_id"))
+
+
+# A host is a function from its sources to canonical records.
+READERS: dict[str, Callable[..., DataFrame]] = {
+    "claude": lambda spark, root: TR.claude_records(TR.read_claude(spark, root)),
+    "codex": lambda spark, root: CX.codex_to_records(TR.read_codex(spark, root))[0],
+    "cursor": lambda messages, meta: CU.cursor_to_records(messages, meta)[0],
+}
+CANONICAL = ("host", "session_id", "seq", "uuid", "ts", "type", "role", "cwd", "content_kind", "text", "blocks")
+
+
+def register_reader(host: str, reader: Callable[..., DataFrame]) -> None:
+    """Add a host, or replace one."""
+    READERS[host] = reader
+
+
+def read_records(host: str, *sources, **options) -> tuple[DataFrame, DataFrame]:
+    """The canonical records of a host and the problems C24 finds in them. An unknown host
+    or a reader that lacks a canonical column is refused; records with problems stay, so the
+    caller decides."""
+    if host not in READERS:
+        raise ValueError(f"no reader for host {host!r}; known: {', '.join(sorted(READERS))}")
+    records = READERS[host](*sources, **options)
+    missing = [c for c in CANONICAL if c not in records.columns]
+    if missing:
+        raise ValueError(f"the reader of {host!r} gives no {', '.join(missing)}")
+    return records, R.validate(records)

@@ -718,11 +718,12 @@ def _(v):
     return ST.parse_hook_events(lines).select("event_id", "event", "session_id", V.text_at(F.col("tool_input"), "$.command").alias("command"))
 
 
-@query("s11_write_canonical", "SELECT session_id, count(*) AS lines FROM v_records GROUP BY session_id")
+@query("s11_write_canonical", "SELECT session_id, seq, type, text, uuid, ts_s, cwd FROM v_records")
 def _(v):
     folder = scratch_folder(v.spark, "canonical")
     ST.write_canonical(v.records.withColumn("host", F.lit("claude")), folder)
-    return v.spark.read.text(folder).groupBy(F.col("session_id").cast("string").alias("session_id")).agg(F.count(F.lit(1)).alias("lines"))
+    kind = "session_id string, seq long, type string, text string, uuid string, ts_s long, cwd string"
+    return v.spark.read.option("lineSep", "\n").text(folder).select(F.from_json("value", kind).alias("r")).select("r.*")
 
 
 @query(

@@ -36,18 +36,15 @@ def read_hook_events(spark: SparkSession, path: str, streaming: bool = False) ->
     return parse_hook_events(reader.option("lineSep", "\n").text(path))
 
 
-def write_canonical(records: DataFrame, path: str) -> None:
-    """One JSON record per line, a folder per host and session, rows in order. Each
+def write_canonical(records: DataFrame, path: str, buckets: int = 64) -> None:
+    """One JSON record per line (it names its session), rows in order, a folder per host
+    and bucket of sessions, so the number of folders does not grow with the sessions. A large
     session is split over as many files as its rows need, never forced into one task."""
     line = F.to_json(F.struct(*[c for c in records.columns if c not in ("host",)]))
-    rows = records.select("host", "session_id", F.col("seq").alias("__seq"), line.alias("value"))
-    (
-        rows.repartitionByRange("host", "session_id", "__seq")
-        .sortWithinPartitions("host", "session_id", "__seq")
-        .drop("__seq")
-        .write.partitionBy("host", "session_id")
-        .text(path)
-    )
+    bucket = F.pmod(F.xxhash64("session_id"), F.lit(buckets)).cast("int")
+    rows = records.select("host", bucket.alias("bucket"), F.col("session_id").alias("__session"), F.col("seq").alias("__seq"), line.alias("value"))
+    order = ["host", "bucket", "__session", "__seq"]
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("__session", "__seq").write.partitionBy("host", "bucket").text(path)
 
 
 def build_imports(records: DataFrame, sliced: DataFrame, sessions: DataFrame, flush: str = "now") -> DataFrame:

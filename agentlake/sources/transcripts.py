@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -200,12 +199,3 @@ def resolve_sessions(refs: DataFrame, sessions: DataFrame, on_ambiguous: str = "
         F.when(status == "ok", F.col("p.path")).alias("path"),
         F.when(status == "ok", F.col("p.session_id")).alias("session_id"),
     )
-
-
-# A host is a function from its raw table to canonical records.
-READERS: dict[str, Callable[..., DataFrame]] = {}
-
-
-def register_reader(host: str, reader: Callable[..., DataFrame]) -> None:
-    """Add a host; its output must pass ``operators.records.validate``."""
-    READERS[host] = reader

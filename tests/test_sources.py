@@ -85,3 +85,27 @@ def test_a_backstop_of_a_batch_number_keeps_the_batch(spark, tmp_path):
     IN.backstop(more, target, 0)
     IN.merge_batch(rows, 0, target)  # a replay
     assert [tuple(r) for r in IN.acks(spark, target).collect()] == [("c1", "u3", 3)]
+
+
+def test_readers_are_dispatched_and_checked(spark, tmp_path):
+    import pytest
+
+    from agentlake.operators import imports as IM
+
+    p = tmp_path / "proj"
+    p.mkdir()
+    rows = [
+        {"type": "user", "uuid": "u1", "timestamp": "2024-01-01T00:00:00Z", "message": {"role": "user", "content": "hi"}},
+        {"type": "user", "timestamp": "2024-01-01T00:00:01Z", "message": {"role": "user", "content": "no id"}},
+    ]
+    (p / "s1.jsonl").write_text("".join(json.dumps(r) + "\n" for r in rows) + "\t\n")
+    records, problems = IM.read_records("claude", spark, str(tmp_path))
+    assert records.count() == 2
+    assert [(r.seq, r.problem) for r in problems.collect()] == [(2, "missing uuid")]
+    with pytest.raises(ValueError, match="no reader"):
+        IM.read_records("nobody", spark, str(tmp_path))
+    IM.register_reader("bare", lambda s: s.range(1))
+    with pytest.raises(ValueError, match="gives no"):
+        IM.read_records("bare", spark)
+    _, counts = TR.parse_jsonl(TR.raw_lines(spark, f"{tmp_path}/*/*.jsonl", "claude"))
+    assert [(r.records, r.malformed, r.blank) for r in counts.collect()] == [(2, 0, 1)]
