@@ -47,7 +47,7 @@ def glob_regex(glob: str | None) -> str | None:
 
 def glob_keys(glob: str | None) -> list[str]:
     """What a path must have for each alternative: the literal folder in front of the first
-    sign, else the literal last segment, else nothing (``any``)."""
+    sign, else the literal last segment, else its literal extension, else nothing (``any``)."""
     keys = set()
     for alt in _alternatives(glob or ""):
         first = _SIGN.search(alt)
@@ -57,6 +57,8 @@ def glob_keys(glob: str | None) -> list[str]:
             keys.add("dir:" + folder)
         elif not _SIGN.search(name):
             keys.add("name:" + name)
+        elif (tail := _SIGN.split(name)[-1].rpartition("."))[1] and tail[2]:
+            keys.add("ext:" + tail[2])
         else:
             keys.add("any")
     return sorted(keys)
@@ -68,14 +70,16 @@ def compile_keys(globs: pd.Series) -> pd.Series:
 
 
 def path_keys(path: Column) -> Column:
-    """The keys of a relative path: every folder above it, its name and ``any``."""
+    """The keys of a relative path: every folder above it, its name, its extension and ``any``."""
     parts = F.split(path, "/")
     depth = F.size(parts) - 1
     folders = F.when(
         depth > 0,
         F.transform(F.sequence(F.lit(1), depth), lambda n: F.concat(F.lit("dir:"), F.array_join(F.slice(parts, F.lit(1), n), "/"))),
     ).otherwise(F.array().cast("array<string>"))
-    return F.concat(folders, F.array(F.concat(F.lit("name:"), F.element_at(parts, -1)), F.lit("any")))
+    name = F.element_at(parts, -1)
+    ext = F.when(name.contains("."), F.array(F.concat(F.lit("ext:"), F.substring_index(name, ".", -1)))).otherwise(F.array().cast("array<string>"))
+    return F.concat(folders, F.array(F.concat(F.lit("name:"), name), F.lit("any")), ext)
 
 
 @F.pandas_udf(StringType())

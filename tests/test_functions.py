@@ -181,3 +181,15 @@ def test_failure_behind_many_newer_rows(spark):
     rows = [("s0", "turn", 1000, None, "timeout", 1000)] + [(f"s{i}", "turn", 2000 + i, 2000 + i, None, None) for i in range(1, 60)]
     state = spark.createDataFrame(rows, "session_id string, capture_path string, at long, last_ok_at long, last_error string, last_error_at long")
     assert [r.session_id for r in H.recent_failure(state, 3000).collect()] == ["s0"]
+
+
+def test_glob_keys_are_among_the_keys_of_matching_paths(spark):
+    from agentlake.functions import globs as G
+
+    paths = ["a.py", "src/a.py", "src/x/b.test.py", "docs/readme", "src/.env", "a.b/c", "x.py/y"]
+    for glob in ("**/*.py", "*.test.py", "src/**", "**/*", "{a,b}.py", "**/.env", "*", "**/*.{py,md}", "**/c", "*.b/*"):
+        keys, regex = G.glob_keys(glob), G.glob_regex(glob)
+        hits = each(spark, paths, lambda c: F.rlike(c, F.lit(regex)))
+        have = each(spark, paths, G.path_keys)
+        assert all(set(keys) & set(k) for h, k in zip(hits, have) if h), glob
+    assert G.glob_keys("**/*.py") == ["ext:py"]
