@@ -87,8 +87,9 @@ class Unit:
 
     def __init__(self, table: pa.Table):
         table = table.combine_chunks()
-        self.doc_id = table.column("doc_id").to_numpy(zero_copy_only=False)
-        self.known = np.array([i.is_valid for i in table.column("doc_id")], dtype=bool)
+        ids = table.column("doc_id").combine_chunks()
+        self.known = ids.is_valid().to_numpy(zero_copy_only=False)
+        self.doc_id = ids.fill_null(0).to_numpy(zero_copy_only=False)  # not by way of floats: large ids stay exact
         raw = [(t or "").encode("utf-8", "surrogatepass") for t in table.column("text").to_pylist()]
         sizes = np.array([len(r) for r in raw], dtype=np.int64)
         self.end = np.cumsum(sizes)

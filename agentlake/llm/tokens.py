@@ -21,7 +21,7 @@ def is_visible(ch: str) -> bool:
     return ch in VISIBLE or ch.isalnum()
 
 
-def load_tokenizer(name: str, special: bool = False):
+def load_tokenizer(name: str):
     """The library's tokenizer for a file of ``public_tokenizers`` or a full path."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import public_tokenizers

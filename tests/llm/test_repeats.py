@@ -25,7 +25,7 @@ def corpus():
             a = rng.randrange(len(p))
             parts += [p[a : a + rng.randint(100, 1500)], "".join(rng.choice("xyz \n") for _ in range(rng.randint(0, 300)))]
         docs.append((100 - i, rng.choice([" ", "\x1c", " "]).join(parts)))
-    return docs + [docs[9], (9, docs[12][1]), (200, docs[12][1])]
+    return docs + [docs[9], (9, docs[12][1]), (2**62 + 1, docs[12][1])]
 
 
 DOCS = corpus()
