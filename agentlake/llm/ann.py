@@ -133,12 +133,23 @@ def usable(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
     return rows.filter(F.size("v") == (first.d if first else 0))
 
 
-def _route(router: Router, mass: float):
+def _route(router: Router, mass: float, x: np.ndarray, ids: np.ndarray, top: int):
+    """Adds part and visits, and for queries the ``top``-th best score among the sample rows of
+    the visited parts: no row below it can be among the ``top`` found."""
+    parts = router.probabilities(x).argmax(axis=1)
+
+    def bound(q: np.ndarray, own: int, visits: np.ndarray) -> float:
+        s = (x @ q)[np.isin(parts, visits) & (ids != own)]
+        return float(-np.partition(-s, top - 1)[top - 1]) if len(s) >= top else float("-inf")
+
     def run(batches):
         for b in batches:
             if len(b):
-                p = router.probabilities(np.stack(b["v"].to_numpy()))
-                yield b.assign(part=p.argmax(axis=1), visits=visited(p, mass))
+                v = np.stack(b["v"].to_numpy())
+                p = router.probabilities(v)
+                seen = visited(p, mass)
+                least = [bound(q, i, n) if a else None for q, i, n, a in zip(v, b["vec_id"], seen, b["asks"], strict=True)]
+                yield b.assign(part=p.argmax(axis=1), visits=seen, bound=pd.Series(least, index=b.index, dtype="float64"))
 
     return run
 
@@ -154,10 +165,11 @@ def _rank(top: int):
                 s = q @ v.T
                 s[qid[:, None] == ids[None, :]] = -np.inf
                 k = min(top, len(ids))
-                least = -np.partition(-s, k - 1, axis=1)[:, k - 1]
+                least = np.maximum(-np.partition(-s, k - 1, axis=1)[:, k - 1], some["bound"].to_numpy())
                 for j in range(len(some)):
                     # near the last place all are kept; scores are then summed alike for equal vectors
-                    pick = np.flatnonzero((s[j] >= least[j] - 1e-9 * (1 + abs(least[j]))) & (s[j] > -np.inf)) if least[j] > -np.inf else np.flatnonzero(s[j] > -np.inf)
+                    floor = least[j] - 1e-9 * (1 + abs(least[j])) if least[j] > -np.inf else -np.inf
+                    pick = np.flatnonzero((s[j] >= floor) & (s[j] > -np.inf))
                     score = (v[pick] * q[j]).sum(axis=1)
                     best = np.lexsort((ids[pick], -score))[:top]
                     out.append(pd.DataFrame({"query_id": qid[j], "vec_id": ids[pick[best]], "score": score[best]}))
@@ -177,15 +189,18 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, mass: float = M
     rows = materialize(rows.groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
     n = rows.count()
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
-    x = np.array([r.v for r in sorted(picked, key=lambda r: r.vec_id)]).reshape(len(picked), len(picked[0].v) if picked else 1)
+    picked = sorted(picked, key=lambda r: r.vec_id)
+    x = np.array([r.v for r in picked]).reshape(len(picked), len(picked[0].v) if picked else 1)
     parts = max(1, min(-(-n // PART), len(x) // SUPPORT))
-    router = learn(x, parts) if n else Router(np.zeros((0, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), 1.0)
-    kind = T.StructType([*rows.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("visits", T.ArrayType(T.IntegerType()))])
-    routed = materialize(rows.mapInPandas(_route(router, mass), kind), "routed")
+    router = learn(x, parts) if n else Router(np.zeros((1, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), 1.0)
+    rows = rows.withColumn("asks", F.coalesce(is_query, F.lit(False)))
+    kind = T.StructType([*rows.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("visits", T.ArrayType(T.IntegerType())), T.StructField("bound", T.DoubleType())])
+    ids = np.array([r.vec_id for r in picked], dtype=np.int64)
+    routed = materialize(rows.mapInPandas(_route(router, mass, x, ids, top), kind), "routed")
     sizes = routed.groupBy("part").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))  # one row a part
     index = routed.join(sizes, "part").select("part", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int").alias("chunk"), F.col("vec_id").alias("row_id"), F.col("v").alias("row_v"))
-    queries = routed.filter(is_query).select("vec_id", "v", F.explode("visits").alias("part")).join(sizes, "part")
-    queries = queries.select("part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "vec_id", "v")
+    queries = routed.filter("asks").select("vec_id", "v", "bound", F.explode("visits").alias("part")).join(sizes, "part")
+    queries = queries.select("part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "vec_id", "v", "bound")
     found = queries.groupBy("part", "chunk").cogroup(index.groupBy("part", "chunk")).applyInPandas(_rank(top), "query_id long, vec_id long, score double")
     by = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
