@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 LENGTH, STRIDE = 32, 24
 #: Bound of the training sample (rows of each class), of the learned vocabulary, sizes of the network.
 SAMPLE, VOCABULARY, WORD_DIM, CHAR_DIM, BUCKETS, HIDDEN = (900, 2200), 12_000, 8, 8, 512, 8
-EPOCHS, BATCH, MEMO, SEED = 8, 96, 600_000, 7
+EPOCHS, BATCH, MEMO, SEED = 8, 96, 300_000, 7
 
 
 def words_of(text: str | None) -> list[str]:
@@ -250,7 +250,7 @@ class Scorer:
             self.known.update((w, self.used + forms.setdefault(plain(w), len(forms))) for w in missing)
             end = self.used + len(forms)
             if end >= len(self.terms):
-                wider = np.zeros((2 * end + 1, self.terms.shape[1]), self.terms.dtype)
+                wider = np.zeros((end + end // 2 + 1, self.terms.shape[1]), self.terms.dtype)
                 wider[: self.used] = self.terms[: self.used]
                 self.terms = wider
             self.terms[self.used : end] = self.model.project(self.model.features(list(forms))[0])[:-1]
