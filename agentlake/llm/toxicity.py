@@ -3,7 +3,7 @@
 Every word enters as a learned word vector next to the mean of its hashed character trigram
 vectors, so unknown words still have a character input. Two gated recurrent layers read a
 window from both ends, attention pools their states and a logistic output scores it. A text's
-score is the highest of all its overlapping windows; training follows suit and learns from the
+score is the highest of its windows at every word; training follows suit and learns from the
 window of each labelled text that scores highest. Everything is numpy: training runs on a
 bounded sample in the driver, scoring in Arrow batches on the executors.
 """
@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Words in a window and between the beginnings of two windows; each overlaps the next.
-LENGTH, STRIDE = 32, 24
+#: Words in a window; one begins at every word that has so many from it on. Windows scored at once.
+LENGTH, SLIDE = 32, 2048
 #: Bound of the training sample (rows of each class), of the learned vocabulary, sizes of the network.
 SAMPLE, VOCABULARY, WORD_DIM, CHAR_DIM, BUCKETS, HIDDEN = (900, 2200), 12_000, 8, 8, 512, 8
 EPOCHS, BATCH, MEMO, SEED = 8, 96, 300_000, 7
@@ -50,8 +50,7 @@ def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def window_index(n: int) -> np.ndarray:
     """Positions (one row a window, -1 behind the end) of all windows over n words."""
-    begins = np.arange(0, max(1, n - LENGTH + STRIDE), STRIDE) if n > LENGTH else np.array([0])
-    at = begins[:, None] + np.arange(LENGTH)
+    at = np.arange(max(1, n - LENGTH + 1))[:, None] + np.arange(LENGTH)
     return np.where(at < n, at, -1)
 
 
@@ -121,6 +120,42 @@ class Network:
             keep.update(mask=mask, s=s, e=e, weight=weight, pool=pool, out=out, kf=kf, kb=kb, at=at)
         return out
 
+    def slide(self, terms: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Probabilities of the windows at every place of ``words`` (rows of ``terms``, ``LENGTH`` at
+        least), as ``forward`` has them; features are rows here, so each step reads a slice."""
+        p, h, n = self.p, HIDDEN, len(words) - LENGTH + 1
+        g = np.ascontiguousarray(terms[words].T)
+        states, score, value = np.empty((LENGTH, h, n), g.dtype), np.empty((LENGTH, n), g.dtype), np.empty((LENGTH, n), g.dtype)
+        hu, zr, mix, new = np.empty((3 * h, n), g.dtype), np.empty((2 * h, n), g.dtype), np.empty((h, n), g.dtype), np.empty((h, n), g.dtype)
+        a, bias = np.ascontiguousarray(p["A"].T), p["a"][:, None]
+        for d, x in (("f", g[: 3 * h]), ("b", g[3 * h :])):
+            u, state = np.ascontiguousarray(p[f"U{d}"].T), np.zeros((h, n), g.dtype)
+            u[: 2 * h] *= 0.5  # a sigmoid is a tanh of half its argument
+            x[: 2 * h] *= 0.5
+            for t in range(LENGTH) if d == "f" else range(LENGTH - 1, -1, -1):
+                np.matmul(u, state, out=hu)
+                np.add(hu[: 2 * h], x[: 2 * h, t : t + n], out=zr)
+                np.tanh(zr, out=zr)
+                zr *= 0.5
+                np.add(zr[h:], 0.5, out=mix)
+                np.multiply(mix, hu[2 * h :], out=new)
+                new += x[2 * h :, t : t + n]
+                np.tanh(new, out=new)
+                new -= state
+                np.subtract(0.5, zr[:h], out=mix)
+                new *= mix
+                state += new
+                if d == "f":
+                    states[t] = state
+                else:
+                    e = a[:, :h] @ states[t]
+                    e += a[:, h:] @ state
+                    e += bias
+                    score[t] = p["u"] @ np.tanh(e, out=e)
+                    value[t] = p["w"][:h] @ states[t] + p["w"][h:] @ state
+        weight = np.exp(score - score.max(axis=0))
+        return _sigmoid((weight * value).sum(axis=0) / weight.sum(axis=0) + p["c"])
+
     def gradients(self, x: np.ndarray, rows: list[int], grams: tuple[np.ndarray, np.ndarray], at: np.ndarray, y: np.ndarray, weights: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of the weighted mean cross entropy."""
         p, k, h = self.p, {}, HIDDEN
@@ -164,22 +199,34 @@ def _numbered(texts: list[list[str]]) -> tuple[list[str], list[np.ndarray]]:
     return list(known), at
 
 
-def _windows(at: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """All windows of all texts as rows of word numbers, and the text of each."""
-    owner, out = [], []
-    for i, a in enumerate(at):
-        w = window_index(len(a))
-        out.append(np.where(w >= 0, np.append(a, -1)[w], -1))
-        owner.append(np.full(len(w), i))
-    return np.concatenate(out), np.concatenate(owner)
+def _window(a: np.ndarray, begin: int) -> np.ndarray:
+    """The window of word numbers ``a`` that begins there, -1 behind the end."""
+    a = a[begin : begin + LENGTH]
+    return np.concatenate([a, np.full(LENGTH - len(a), -1)])
+
+
+def _highest(net: Network, terms: np.ndarray, at: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Highest score of each text and where the first window that has it begins."""
+    out, begin = np.empty(len(at), terms.dtype), np.zeros(len(at), np.int64)
+    short, long = [i for i, a in enumerate(at) if len(a) <= LENGTH], [i for i, a in enumerate(at) if len(a) > LENGTH]
+    for k in range(0, len(short), 4096):
+        some = short[k : k + 4096]
+        out[some] = net.forward(terms, np.stack([_window(at[i], 0) for i in some]))
+    if long:
+        line, first = np.concatenate([at[i] for i in long]), 0  # windows across two texts are passed over below
+        p = np.concatenate([net.slide(terms, line[k : k + SLIDE + LENGTH - 1]) for k in range(0, len(line) - LENGTH + 1, SLIDE)])
+        for i in long:
+            own = p[first : first + len(at[i]) - LENGTH + 1]
+            begin[i] = own.argmax()
+            out[i], first = own[begin[i]], first + len(at[i])
+    return out, begin
 
 
-def _highest(net: Network, terms: np.ndarray, at: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Highest score of each text and the window that has it."""
-    p = np.concatenate([net.forward(terms, at[i : i + 4096]) for i in range(0, len(at), 4096)])
-    order = np.lexsort((-p, owner))
-    first = order[np.searchsorted(owner[order], np.arange(n))]
-    return p[first], first
+def _suspicious(odds: np.ndarray) -> int:
+    """Where the window begins that has the largest sum of three words' odds."""
+    if len(odds) <= LENGTH:
+        return 0
+    return int(np.partition(np.lib.stride_tricks.sliding_window_view(odds, LENGTH), LENGTH - 3, axis=1)[:, -3:].sum(axis=1).argmax())
 
 
 def train(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Network | float:
@@ -198,21 +245,18 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Network
     rate = np.array([(n_toxic[w] + 4 * prior) / (found[w] + 4) for w in vocabulary], dtype=np.float32)
     net = Network(vocabulary, np.log(rate / (1 - rate)) - np.log(prior / (1 - prior)))
     words, at = _numbered(split)
-    windows, owner = _windows(at)
     weights = np.where(y > 0, 0.5 / prior, 0.5 / (1 - prior)).astype(np.float32)
     moment, square, step = {n: np.zeros_like(v) for n, v in net.p.items()}, {n: np.zeros_like(v) for n, v in net.p.items()}, 0
     rng = np.random.default_rng(SEED)
-    odds = np.append(net.p["word"][[vocabulary.get(w, 0) for w in words], 0], 0)
-    top = np.sort(odds[windows], axis=1)[:, -3:].sum(axis=1)  # to begin with: the most suspicious words
-    order = np.lexsort((-top, owner))
-    chosen = order[np.searchsorted(owner[order], np.arange(len(y)))]
+    odds = net.p["word"][[vocabulary.get(w, 0) for w in words], 0]
+    begins = np.array([_suspicious(odds[a]) for a in at])  # to begin with: the most suspicious words
     for epoch in range(epochs):
         if epoch:
-            chosen = _highest(net, net.project(net.features(words)[0]), windows, owner, len(y))[1]
+            begins = _highest(net, net.project(net.features(words)[0]), at)[1]
         shuffled = rng.permutation(len(y))
         for i in range(0, len(y), BATCH):
             pick = shuffled[i : i + BATCH]
-            some = windows[chosen[pick]]
+            some = np.stack([_window(at[j], begins[j]) for j in pick])
             used = np.unique(some[some >= 0])
             local = np.where(some >= 0, np.searchsorted(used, some), -1)
             if not len(used):
@@ -275,8 +319,8 @@ class Scorer:
 
     def _score(self, group: list, out: np.ndarray) -> None:
         if group:
-            windows, owner = _windows(self.numbers([w for _, w in group]))
-            out[[i for i, _ in group]] = _highest(self.model, self.terms, windows, owner, len(group))[0]
+            at = self.numbers([w for _, w in group])  # may replace the terms
+            out[[i for i, _ in group]] = _highest(self.model, self.terms, at)[0]
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) -> list[tuple[str, int]]:

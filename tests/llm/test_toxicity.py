@@ -35,6 +35,23 @@ def test_windows_cover_the_text():
         assert set(range(n)) == set(w[w >= 0])
 
 
+def test_every_window_is_scored():
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(40)]
+    net = tox.Network({w: i + 1 for i, w in enumerate(words)}, rng.standard_normal(40))
+    texts = [" ".join(rng.choice(words, n)) for n in (0, 1, 31, 32, 33, 53, 57, 400, 5000)]
+    got = tox.Scorer(net).scores(texts)
+    for text, score in zip(texts, got, strict=True):
+        w = text.split()
+        names, at = tox._numbered([w])
+        terms = net.project(net.features(names)[0])
+        rows = [at[0][i : i + 32] for i in range(max(1, len(w) - 31))]
+        want = net.forward(terms, np.array([np.append(r, [-1] * (32 - len(r))) for r in rows], dtype=np.int64))
+        assert abs(score - want.max()) < 1e-5, len(w)
+        begin = tox._highest(net, terms, at)[1][0]
+        assert abs(want[begin] - want.max()) < 1e-5, len(w)
+
+
 def test_trigrams_of_words_do_not_cross():
     words = ["", "a", "abc", "déjà", "toolong"]
     flat, counts = tox.trigrams(words)
