@@ -1,8 +1,9 @@
 """URL filter: rules first, then gradient-boosted trees on lexical features.
 
 The rules label the URLs they match; a bounded sample of those trains the trees (numpy in the
-driver, a few thousand rows of ten numbers). Each tree becomes a CASE expression, so every URL is
-judged by plain column arithmetic in the scan, without a shuffle or Python on the executors.
+driver, a few thousand rows of ten numbers); the statistics of host suffixes count all rows. Each
+tree becomes a CASE expression, so every URL is judged by plain column arithmetic after a join
+with the suffixes' statistics, without Python on the executors.
 """
 
 from __future__ import annotations
@@ -14,11 +15,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from agentlake.session import materialize
+
 #: (verdict, rule); a rule is a host, then a path from its first slash.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 FEATURES = ("length", "host_length", "depth", "host_depth", "digit_ratio", "entropy", "n_params", "n_marks", "suffix_rate", "suffix_share")
-#: Bound of the training sample, and of the suffixes that keep statistics of their own.
-SAMPLE, SUFFIXES, TREES, DEPTH, RATE, BINS = 6000, 200, 20, 3, 0.3, 32
+#: Bound of the training sample, and the trees' sizes.
+SAMPLE, TREES, DEPTH, RATE, BINS = 6000, 20, 3, 0.3, 32
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -59,12 +62,16 @@ def lexical(df: DataFrame) -> DataFrame:
 
 @dataclass
 class Trees:
-    """Boosted regression trees of log odds: nested (feature, threshold, left, right) or a number."""
+    """Boosted regression trees of log odds: nested (feature, threshold, left, right) or a number.
+
+    ``suffixes`` has (rate, share) of the sample's suffixes, ``table`` (suffix, suffix_rate,
+    suffix_share) of all; without a table the sample's are all there are."""
 
     base: float
     trees: list
     suffixes: dict[str, tuple[float, float]]
     default: tuple[float, float]
+    table: DataFrame | None = None
 
     def margin(self) -> Column:
         def walk(t) -> Column:
@@ -76,13 +83,11 @@ class Trees:
         return out
 
     def with_suffixes(self, df: DataFrame) -> DataFrame:
-        def column(i: int) -> Column:
-            out = F.lit(self.default[i])
-            for s in sorted(self.suffixes):
-                out = F.when(F.col("suffix") == s, F.lit(self.suffixes[s][i])).otherwise(out)
-            return out
-
-        return df.withColumns({"suffix_rate": column(0), "suffix_share": column(1)})
+        table = self.table
+        if table is None:
+            table = df.sparkSession.createDataFrame([(k, *map(float, v)) for k, v in sorted(self.suffixes.items())], "suffix string, suffix_rate double, suffix_share double")
+        known = {c: F.coalesce(c, F.lit(d)) for c, d in zip(FEATURES[-2:], self.default, strict=True)}
+        return df.join(table, "suffix", "left").withColumns(known)
 
 
 def _grow(x: np.ndarray, g: np.ndarray, h: np.ndarray, edges: list[np.ndarray], depth: int):
@@ -109,18 +114,23 @@ def _apply(t, x: np.ndarray) -> np.ndarray:
     return np.where(x[:, t[0]] <= t[1], _apply(t[2], x), _apply(t[3], x))
 
 
-def fit(rows: list[dict], labels: list[int]) -> Trees:
-    """Trees for labelled feature rows (with ``suffix``); without both classes the base rate alone."""
+def _smooth(blocked, labelled, rate):
+    return (blocked + 5 * rate) / (labelled + 5)
+
+
+def fit(rows: list[dict], labels: list[int], stats: dict[str, tuple[float, float]] | None = None) -> Trees:
+    """Trees for labelled feature rows (with ``suffix``); without both classes the base rate alone.
+    ``stats`` has (rate, share) of the rows' suffixes; without it the rows themselves are counted."""
     y = np.array(labels, dtype=float)
     if not len(y):
         return Trees(-1.0, [], {}, (0.5, 0.0))
     rate = (y.sum() + 0.5) / (len(y) + 1)
     base = float(np.log(rate / (1 - rate)))
-    seen: dict[str, list[float]] = {}
-    for r, label in zip(rows, labels, strict=True):
-        seen.setdefault(r["suffix"], []).append(label)
-    common = sorted(seen, key=lambda s: (-len(seen[s]), s))[:SUFFIXES]
-    stats = {s: ((sum(seen[s]) + 5 * rate) / (len(seen[s]) + 5), len(seen[s]) / len(y)) for s in common}
+    if stats is None:
+        seen: dict[str, list[float]] = {}
+        for r, label in zip(rows, labels, strict=True):
+            seen.setdefault(r["suffix"], []).append(label)
+        stats = {s: (_smooth(sum(v), len(v), rate), len(v) / len(y)) for s, v in seen.items()}
     model = Trees(base, [], stats, (float(rate), 0.0))
     if y.min() == y.max():
         return model
@@ -134,12 +144,27 @@ def fit(rows: list[dict], labels: list[int]) -> Trees:
     return model
 
 
+def suffix_statistics(judged: DataFrame, block: list[str]) -> tuple[DataFrame, float]:
+    """(suffix, suffix_rate, suffix_share) of every suffix, and the rate of all: the smoothed share
+    of blocked ones among the rows that a rule decides, and the suffix's share of all rows."""
+    one = lambda c: F.sum(c.cast("long"))
+    counts = judged.groupBy(F.substring_index("host", ".", -1).alias("suffix")).agg(F.count("*").alias("n"), one(F.col("rule").isNotNull()).alias("labelled"), one(F.coalesce(F.col("rule").isin(block), F.lit(False))).alias("blocked"))
+    counts = materialize(counts, "suffixes")
+    n, labelled, blocked = (x or 0 for x in counts.agg(F.sum("n"), F.sum("labelled"), F.sum("blocked")).first())
+    rate = (blocked + 0.5) / (labelled + 1)
+    return counts.select("suffix", _smooth(F.col("blocked"), F.col("labelled"), F.lit(rate)).alias("suffix_rate"), (F.col("n") / F.lit(max(n, 1))).alias("suffix_share")), rate
+
+
 def train(judged: DataFrame, rules, sample: int = SAMPLE) -> Trees:
-    """Fits URLs that a rule decides: at most ``sample`` distinct ones, by their hash."""
+    """Fits URLs that a rule decides: at most ``sample`` distinct ones, by their hash. Suffixes are
+    counted over all rows."""
     block = [rule for verdict, rule in rules if verdict == "block"]
+    table, rate = suffix_statistics(judged, block)
     picked = judged.filter("rule is not null").select("url", "host", "path", F.col("rule").isin(block).cast("int").alias("label")).distinct().orderBy(F.xxhash64("url"), "url").limit(sample)
-    rows = sorted((r.asDict() for r in lexical(picked).collect()), key=lambda r: r["url"])
-    return fit(rows, [r["label"] for r in rows])
+    rows = sorted((r.asDict() for r in lexical(picked).join(table, "suffix").collect()), key=lambda r: r["url"])
+    model = fit(rows, [r["label"] for r in rows], {r["suffix"]: (r["suffix_rate"], r["suffix_share"]) for r in rows})
+    model.default, model.table = (rate, 0.0), table
+    return model
 
 
 def filter_urls(pages: DataFrame, rules=RULES, model: Trees | None = None) -> DataFrame:

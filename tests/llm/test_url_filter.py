@@ -51,3 +51,17 @@ def test_sql_of_trees_equals_numpy(spark):
     want = model.base + sum(uf._apply(t, x) for t in model.trees)
     got = model.with_suffixes(spark.createDataFrame([(i, *r.values()) for i, r in enumerate(rows)], ["i", *rows[0]])).orderBy("i").select(model.margin().alias("m")).toPandas().m
     assert abs(got - want).max() < 1e-9
+
+
+def test_suffix_statistics_count_all_rows(spark):
+    urls = [f"http://a{i}.net/x" for i in range(400)] + [f"http://b{i}.com/{'de' if i % 4 else 'fr'}/" for i in range(200)] + [f"http://c.s{i}/" for i in range(300) for _ in range(2)]
+    rows = spark.createDataFrame([(u,) for u in urls], "url string")
+    host, path = uf.parts(F.col("url"))
+    judged = rows.withColumns({"host": host, "path": path}).withColumn("rule", uf.rule_of(F.col("host"), F.col("path"), uf.RULES))
+    model = uf.train(judged, uf.RULES, sample=50)
+    got = {r.suffix: (r.suffix_rate, r.suffix_share) for r in model.with_suffixes(uf.lexical(judged)).select("suffix", "suffix_rate", "suffix_share").distinct().collect()}
+    rate = 150.5 / 201
+    want = {"net": (rate, 400 / 1200), "com": ((150 + 5 * rate) / 205, 200 / 1200)} | {f"s{i}": (rate, 2 / 1200) for i in range(300)}
+    assert got.keys() == want.keys()
+    assert all(abs(a - b) < 1e-12 for k in want for a, b in zip(got[k], want[k], strict=True))
+    assert uf.filter_urls(rows.withColumn("page_id", F.lit(1))).count() == len(urls)
