@@ -71,13 +71,14 @@ def found_in(docs: DataFrame, items: DataFrame, size: int = WINDOW, slack: int =
     # verify phrases where they seem to be; one text of each hash
     exact = met.filter("gap = 0").groupBy("h").agg(F.collect_set(F.struct("phrase", "start")).alias("found"))
     texts = docs.select(F.xxhash64("text").alias("h"), "text").join(exact.select("h"), "h", "left_semi").groupBy("h").agg(F.min("text").alias("text"))
-    right = (
+    checked = (
         exact.join(texts, "h")
         .withColumn("w", words(F.col("text")))
-        .select("h", F.explode(F.expr("filter(found, f -> f.start >= 0 and slice(w, f.start + 1, size(f.phrase)) = f.phrase)")).alias("f"))
-        .select("h", "f.phrase", "f.start")
+        .select("h", F.explode(F.expr("transform(found, f -> struct(f.phrase, f.start, f.start >= 0 and slice(w, greatest(f.start, 0) + 1, size(f.phrase)) = f.phrase as right))")).alias("f"))
+        .select("h", "f.phrase", "f.start", "f.right")
     )
-    right = materialize(right, "right")
+    checked = materialize(checked, "checked")
+    right = checked.filter("right").drop("right")
     length = F.size("phrase")
     # words covered by the union of [start, start + length): cut at gaps, then sum
     w = W.partitionBy("h").orderBy("start", "upto")
@@ -88,7 +89,8 @@ def found_in(docs: DataFrame, items: DataFrame, size: int = WINDOW, slack: int =
     )
     items_of = lambda x: x.select("h", "phrase").distinct().join(phrases, "phrase").select("h", F.explode("items").alias("item"))
     listed = items_of(right).distinct().groupBy("h").agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("list"))
-    close = items_of(met.filter("gap > 0")).groupBy("h").agg(F.count_distinct("item").alias("n_near"))
+    # near: all within the slack but the phrases, also where both terms stand right and other words differ
+    close = items_of(met.filter("gap > 0").select("h", "phrase").union(checked.filter("not right").select("h", "phrase"))).groupBy("h").agg(F.count_distinct("item").alias("n_near"))
     return covered.join(listed, "h", "full").join(close, "h", "full")
 
 
@@ -96,7 +98,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW, slack:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near of every row.
 
     n_near counts items of which the two rarest terms of a window stand in the window's order
-    but up to ``slack`` words off, in this text. Null texts have no words; empty items have no
+    and at most ``slack`` words off, in this text, and the window itself does not stand there. Null texts have no words; empty items have no
     window; repeated items count once, null item ids are left out; repeated rows and null doc_ids
     keep a row each; further columns are ignored; an empty benchmark hits nothing."""
     found = found_in(docs, items, size, slack)

@@ -61,3 +61,11 @@ def test_proximity(spark):
     b = spark.createDataFrame([(5, "alpha beta gamma delta")], "item_id long, text string")
     got = {r.doc_id: (r.n_hit, r.n_near) for r in decontaminate(d, b).collect()}
     assert got[2] == (4, 0) and got[1][0] == 0
+
+
+def test_proximity_of_replaced_words(spark):
+    d = spark.createDataFrame([(1, "alpha beta other delta"), (2, "alpha beta gamma delta"), (3, "gamma gamma delta delta"), (4, "alpha")], "doc_id long, text string")
+    b = spark.createDataFrame([(5, "alpha beta gamma delta")], "item_id long, text string")
+    # beta and alpha are the rarest (of equal counts the first)
+    got = {r.doc_id: (r.n_hit, r.n_near) for r in decontaminate(d, b).collect()}
+    assert got == {1: (0, 1), 2: (4, 0), 3: (0, 0), 4: (0, 0)}
