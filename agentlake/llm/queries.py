@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from agentlake.llm import oracles
 from agentlake.llm.ann import search
 from agentlake.llm.bpe_codec import encode_decode
+from agentlake.llm.conversation import repair
 from agentlake.llm.decontaminate import decontaminate
+from agentlake.llm.lexical_search import ranked
+from agentlake.llm.line_dedup import line_dedup
 from agentlake.llm.secret_scan import scan
 from agentlake.llm.simhash import near_duplicates
 from agentlake.llm.substring_dedup import substring_dedup
@@ -24,6 +27,9 @@ ORACLES: dict[str, str] = {
     "op1_suffix_dedup": oracles.SUFFIX_DEDUP,
     "op5_decontaminate": oracles.DECONTAMINATE,
     "op6_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op11_lexical_search": oracles.LEXICAL,
+    "op12_conversation_repair": oracles.CONVERSATION,
+    "op13_line_dedup": oracles.LINE_DEDUP,
 }
 
 
@@ -84,3 +90,18 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(_table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(_table(spark, sf_dir, "documents"))
