@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 from agentlake.session import materialize
 
 TOP, LEAF = 10, 16
-DOC_BLOCK, ITEM_BLOCK = 4096, 256
+DOC_BLOCK, ITEM_BLOCK = 2048, 256
+CHUNK = 1 << 20
 TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 SLACK = 1e-9  # far above the rounding of sums of doubles of one sign
 
@@ -39,12 +41,16 @@ def terms(text: str | None) -> list[str]:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        counts = [Counter(terms(t)) for t in b.column(2).to_pylist()]
-        sizes = pa.array([0, *np.cumsum([len(c) for c in counts])], pa.int32())
-        names = pa.ListArray.from_arrays(sizes, pa.array([t for c in counts for t in c], pa.string()))
-        tf = pa.ListArray.from_arrays(sizes, pa.array([n for c in counts for n in c.values()], pa.int64()))
-        total = pa.array([sum(c.values()) for c in counts], pa.int64())
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), total, names, tf], ["row", "id", "n", "term", "tf"])
+        ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(b.column(2)), 0).to_numpy(zero_copy_only=False))
+        cuts = [0, *(np.flatnonzero(np.diff(ends // CHUNK)) + 1).tolist(), b.num_rows]  # some texts' counts at a time
+        for at, end in zip(cuts, cuts[1:], strict=False):
+            part = b.slice(at, end - at)
+            counts = [Counter(terms(t)) for t in part.column(2).to_pylist()]
+            sizes = pa.array([0, *np.cumsum([len(c) for c in counts])], pa.int32())
+            names = pa.ListArray.from_arrays(sizes, pa.array([t for c in counts for t in c], pa.string()))
+            tf = pa.ListArray.from_arrays(sizes, pa.array([n for c in counts for n in c.values()], pa.int64()))
+            total = pa.array([sum(c.values()) for c in counts], pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), total, names, tf], ["row", "id", "n", "term", "tf"])
 
 
 def _vectors(table: DataFrame, key: str, name: str) -> DataFrame:
