@@ -126,8 +126,9 @@ def keep_bitmaps(docs: DataFrame, least: int = LEAST, documents: int = DOCUMENTS
     dealt = lines.repartitionByRange(*order).sortWithinPartitions(*order, "text_hash")
     passed = materialize(dealt.mapInArrow(_stream(documents), PASSED), "passed")
     edges = passed.filter("documents is not null").groupBy("hash").agg(F.sum("documents").alias("n"), F.max("nameless").alias("also"), F.max("largest").alias("top"))
+    # two rows a task at most, whatever the input
     edges = edges.filter(F.col("n") + F.col("also") >= documents)
-    aside = passed.filter("places is not null and hash is not null").join(edges, "hash").filter("not doc_id <=> top")
+    aside = passed.filter("places is not null and hash is not null").join(F.broadcast(edges), "hash").filter("not doc_id <=> top")
     gone = passed.filter("places is not null and hash is null").select("doc_id", "text_hash", "places").union(aside.select("doc_id", "text_hash", "places"))
     lists = gone.groupBy("doc_id", "text_hash").agg(F.collect_set("places").alias("places"))
     return lists.mapInArrow(_bitmaps, "doc_id long, text_hash long, keep binary")
