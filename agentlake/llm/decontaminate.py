@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from agentlake.llm.native import ascii_lower
+from agentlake.llm.native import ascii_lower, own_columns
 from agentlake.session import materialize
 
 WINDOW, SLACK = 10, 5
@@ -39,10 +39,11 @@ def windows(items: DataFrame, size: int) -> DataFrame:
 
 def found_in(docs: DataFrame, items: DataFrame, size: int = WINDOW, slack: int = SLACK) -> DataFrame:
     """(h, n_hit, list, n_near) of the texts with phrase or proximity matches; h is their hash."""
-    wins = materialize(windows(items.filter("item_id is not null"), size), "windows")
-    phrases = wins.groupBy("phrase").agg(F.collect_set("item_id").alias("items"))  # an item twice in a set: once
+    wins = materialize(windows(items, size), "windows")
+    phrases = wins.groupBy("phrase").agg(F.collect_set("item_id").alias("items"))  # an item twice in a set: once; null ids are in no list
     vocabulary = phrases.select(F.explode("phrase").alias("term")).distinct()
-    counts = _terms(docs).select("term").join(vocabulary, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
+    # counted first: one row a term and task is shuffled, however frequent the term
+    counts = _terms(docs).groupBy("term").agg(F.count("*").alias("n")).join(vocabulary, "term")
     # the two rarest terms of each phrase; a phrase with a term the corpus lacks cannot occur
     places = phrases.select("phrase", F.posexplode("phrase").alias("off", "term")).join(counts, "term", "left")
     by = W.partitionBy("phrase").orderBy("n", "off")
@@ -99,7 +100,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW, slack:
 
     n_near counts items of which the two rarest terms of a window stand in the window's order
     and at most ``slack`` words off, in this text, and the window itself does not stand there. Null texts have no words; empty items have no
-    window; repeated items count once, null item ids are left out; repeated rows and null doc_ids
+    window; repeated items count once; items without an id make words hit and are in neither
+    n_items nor the list; repeated rows and null doc_ids
     keep a row each; further columns are ignored; an empty benchmark hits nothing."""
     found = found_in(docs, items, size, slack)
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), F.size(words(F.col("text"))).cast("long").alias("n_words")).join(found, "h", "left")
@@ -112,5 +114,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW, slack:
 
 def uncontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents without any hit, with their own columns."""
-    hit = found_in(docs, items).filter("n_hit > 0").select(F.col("h").alias("__h"))
-    return docs.join(hit, F.xxhash64("text") == F.col("__h"), "left_anti")
+    hit = found_in(docs, items).filter("n_hit > 0").select("h")
+    return docs.select(own_columns(docs), F.xxhash64("text").alias("h")).join(hit, "h", "left_anti").select("row.*")

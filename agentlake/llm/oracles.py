@@ -27,12 +27,12 @@ FROM d LEFT JOIN gone USING (r)"""
 
 DECONTAMINATE = rf"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
-b AS (SELECT item_id, {_TERMS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT item_id, {_TERMS} AS w FROM benchmark),
 win AS MATERIALIZED (SELECT DISTINCT item_id, w[i : i + 9] AS p FROM b, unnest(range(1, greatest(1, len(w) - 9) + 1)) t(i) WHERE len(w) > 0),
 size AS (SELECT DISTINCT len(p) AS n FROM win),
 hit AS MATERIALIZED (SELECT DISTINCT r, s, n, item_id FROM (SELECT r, s, n, w[s : s + n - 1] AS p FROM d, size, unnest(range(1, len(w) - n + 2)) t(s)) x JOIN win USING (p)),
 cover AS (SELECT r, count(DISTINCT s + j) AS n_hit FROM hit, unnest(range(0, n)) t(j) GROUP BY r),
-listed AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hit) x GROUP BY r),
+listed AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hit WHERE item_id IS NOT NULL) x GROUP BY r),
 tok AS MATERIALIZED (SELECT r, pos, w[pos] AS term FROM d, unnest(range(1, len(w) + 1)) t(pos)),
 phrase AS MATERIALIZED (SELECT DISTINCT p FROM win),
 place AS (SELECT p, off, p[off] AS term FROM phrase, unnest(range(1, len(p) + 1)) t(off)),
@@ -40,7 +40,7 @@ freq AS (SELECT term, count(*) AS n FROM tok GROUP BY term),
 rare AS MATERIALIZED (SELECT p, off, term, row_number() OVER (PARTITION BY p ORDER BY n, off) AS k, min(n) OVER (PARTITION BY p) AS least FROM (SELECT p, off, term, coalesce(n, 0) AS n FROM place LEFT JOIN freq USING (term)) x),
 one AS (SELECT r, p, pos - off AS s FROM rare JOIN tok USING (term) WHERE k = 1 AND least > 0),
 two AS (SELECT r, p, pos - off AS s2 FROM rare JOIN tok USING (term) WHERE k = 2 AND least > 0),
-near AS (SELECT r, p FROM one JOIN two USING (r, p) WHERE abs(s - s2) <= 5 GROUP BY r, p, s HAVING min(abs(s - s2)) > 0),
+near AS (SELECT r, p FROM (SELECT r, p, s, min(abs(s - s2)) AS gap FROM one JOIN two USING (r, p) WHERE abs(s - s2) <= 5 GROUP BY r, p, s) x JOIN d USING (r) WHERE gap > 0 OR s < 0 OR w[s + 1 : s + len(p)] IS DISTINCT FROM p),
 close AS (SELECT r, count(DISTINCT item_id) AS n_near FROM near JOIN win USING (p) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near FROM d LEFT JOIN cover USING (r) LEFT JOIN listed USING (r) LEFT JOIN close USING (r)"""

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from agentlake.llm.native import own_columns
 from agentlake.session import materialize
 
 
@@ -182,12 +183,18 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
     return rows.select("doc_id", *counts, F.sha2(line(F.filter("found", lambda s: s.rule < len(BASE))), 256).alias("base_sha256"), line(F.col("found")).alias("spans"))
 
 
-def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, mask: str = "[secret]") -> DataFrame:
-    """The documents with every span of ``text`` replaced by ``mask``, other columns as they are."""
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, mask: str = "[secret]", size: str | None = None) -> DataFrame:
+    """The documents with every span of ``text`` replaced by ``mask``, other columns as they are;
+    ``size`` names a column that becomes the text's length where the text changed."""
     text = F.col("text")
     step = lambda acc, s: F.struct(
         F.when(s.begin >= acc["at"], F.concat(acc["out"], F.substr(text, acc["at"] + 1, s.begin - acc["at"]), F.lit(mask))).otherwise(acc["out"]).alias("out"),
         F.greatest(acc["at"], s.end).alias("at"),
     )
     masked = F.aggregate("__found", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
-    return secret_spans(docs, rules).withColumn("text", F.when(F.size("__found") > 0, masked).otherwise(text)).drop("__found")
+    rows = secret_spans(docs.select(own_columns(docs), "text"), rules).select("row", "text", (F.size("__found") > 0).alias("changed"), masked.alias("masked"))
+    row = F.col("row").withField("text", F.when(F.col("changed"), F.col("masked")).otherwise(text))
+    if size:
+        old = F.col("row").getField(size)
+        row = row.withField(size, F.when(F.col("changed") & old.isNotNull(), F.length("masked").cast(docs.schema[size].dataType)).otherwise(old))
+    return rows.select(row.alias("row")).select("row.*")

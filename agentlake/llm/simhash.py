@@ -18,10 +18,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from agentlake.llm.graph import components
+from agentlake.llm.native import own_columns
 from agentlake.session import materialize
 
 WORDS, DISTANCE, SEED = 3, 2, 42
@@ -49,14 +49,15 @@ def _fingerprints(n_words: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             f = np.array([fingerprint(t, n_words, seed) for t in b.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(f, pa.int64())], ["doc_id", "bits"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(f, pa.int64()), *b.columns[2:]], ["doc_id", "bits", *b.schema.names[2:]])
 
     return run
 
 
 def fingerprints(docs: DataFrame, n_words: int = WORDS, seed: int = SEED) -> DataFrame:
-    """(doc_id, bits) of every row."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_fingerprints(n_words, seed), "doc_id long, bits long")
+    """(doc_id, bits) of every row, and its ``text_hash`` if ``docs`` has one."""
+    more = ["text_hash"] if "text_hash" in docs.columns else []
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *more).mapInArrow(_fingerprints(n_words, seed), "doc_id long, bits long" + "".join(f", {c} long" for c in more))
 
 
 def _visits(prints: DataFrame) -> DataFrame:
@@ -91,17 +92,10 @@ def links(prints: DataFrame) -> DataFrame:
     return points.join(least, "point").select(F.col("bits").alias("a"), "b").filter("a <> b").distinct()
 
 
-def near_duplicates(docs: DataFrame, n_words: int = WORDS, distance: int = DISTANCE, seed: int = SEED) -> DataFrame:
-    """doc_id, fingerprint, component_id, root of every row; links are transitive.
-
-    ``distance`` is 0, 1 or 2 bits (1 and 0 link at most what 2 links). A null text has no words;
-    texts without words share fingerprint zero and are linked like any others. Repeated rows
-    stay; a null doc_id is never a component_id, a component of null ids alone has none, and
-    ``root`` (the component's least fingerprint) still tells it apart. Further columns are
-    ignored; an empty table gives no rows."""
+def classes(hashed: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """(bits, component_id, root_bits) of the fingerprints in ``hashed`` (doc_id, bits)."""
     if distance not in (0, 1, 2):
         raise ValueError("distance must be 0, 1 or 2")
-    hashed = materialize(fingerprints(docs, n_words, seed), "fingerprints")
     prints = hashed.groupBy("bits").agg(F.min("doc_id").alias("least"))
     if distance == 2:
         edges = links(prints.select("bits"))
@@ -113,20 +107,30 @@ def near_duplicates(docs: DataFrame, n_words: int = WORDS, distance: int = DISTA
     roots = components(edges)
     rooted = prints.join(roots, prints.bits == roots.node, "left").select("bits", "least", F.coalesce("root", "bits").alias("root_bits"))
     ids = rooted.groupBy("root_bits").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(ids, "root_bits").select("bits", "component_id", "root_bits")
+    return rooted.join(ids, "root_bits").select("bits", "component_id", "root_bits")
+
+
+def near_duplicates(docs: DataFrame, n_words: int = WORDS, distance: int = DISTANCE, seed: int = SEED) -> DataFrame:
+    """doc_id, fingerprint, component_id, root of every row; links are transitive.
+
+    ``distance`` is 0, 1 or 2 bits (1 and 0 link at most what 2 links). A null text has no words;
+    texts without words share fingerprint zero and are linked like any others. Repeated rows
+    stay; a null doc_id is never a component_id, a component of null ids alone has none, and
+    ``root`` (the component's least fingerprint) still tells it apart. Further columns are
+    ignored; an empty table gives no rows."""
+    hashed = materialize(fingerprints(docs.select("doc_id", "text"), n_words, seed), "fingerprints")
     digits = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
-    return hashed.join(classes, "bits").select("doc_id", digits("bits").alias("fingerprint"), "component_id", digits("root_bits").alias("root"))
+    return hashed.join(classes(hashed, distance), "bits").select("doc_id", digits("bits").alias("fingerprint"), "component_id", digits("root_bits").alias("root"))
 
 
 def representatives(docs: DataFrame, n_words: int = WORDS, distance: int = DISTANCE, seed: int = SEED) -> DataFrame:
-    """One row of each group of near duplicates, with its own columns: the least doc_id, of
-    repeated rows one. A group without any id keeps one of its rows."""
-    groups = near_duplicates(docs, n_words, distance, seed)
-    ids = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    once = lambda df, key: df.withColumn("__n", F.row_number().over(W.partitionBy(key).orderBy("__h"))).filter("__n = 1").drop("__n", "__h")
-    keyed = docs.withColumn("__h", F.xxhash64("text"))
-    known = once(keyed.filter("doc_id is not null").join(ids.withColumnRenamed("doc_id", "__id"), F.col("doc_id").cast("long") == F.col("__id"), "left_semi"), "doc_id")
-    nameless = groups.filter("component_id is null").select(F.col("fingerprint").alias("__f"), F.col("root").alias("__root")).distinct()
-    prints = fingerprints(docs.filter("doc_id is null").select(F.xxhash64("text").alias("doc_id"), "text").distinct(), n_words, seed).select(F.col("doc_id").alias("__h"), F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("__f"))
-    rest = keyed.filter("doc_id is null").join(prints.join(nameless, "__f").select("__h", "__root").distinct(), "__h")
-    return known.unionByName(once(rest, "__root").drop("__root").select(*docs.columns))
+    """One row of each group of near duplicates, with its own columns: the least doc_id (a null is
+    larger than any), of several texts of that id one by its hash, of repeated rows one."""
+    text_hash = F.xxhash64("text").alias("text_hash")
+    hashed = materialize(fingerprints(docs.select("doc_id", "text", text_hash), n_words, seed), "fingerprints")
+    rooted = hashed.join(classes(hashed, distance).select("bits", "root_bits"), "bits")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
+    kept = rooted.groupBy("root_bits").agg(first).select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"))
+    rows = docs.select(own_columns(docs), F.col("doc_id").cast("long").alias("doc_id"), text_hash)
+    found = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash")), "left_semi")
+    return found.dropDuplicates(["doc_id", "text_hash"]).select("row.*")

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from agentlake.llm.native import own_columns
+
 #: Words in a window; one begins at every word that has so many from it on. Windows scored at once.
 LENGTH, SLIDE = 32, 2048
 #: Bound of the training sample (rows of each class), of the learned vocabulary, sizes of the network.
@@ -342,20 +344,21 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
-def _score(model: Network | float):
+def _score(model: Network | float, text: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for b in batches:
-            s = scorer.scores(b.column(b.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s.astype(float), pa.float64())], [*b.schema.names[:-1], "__score"])
+            s = scorer.scores([t or "" for t in b.column(0).field(text).to_pylist()])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s.astype(float), pa.float64())], ["row", "score"])
 
     return run
 
 
 def scored(docs: DataFrame, model: Network | float) -> DataFrame:
-    """All columns of ``docs`` and ``__score``."""
-    kind = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())])
-    return docs.withColumn("__text", F.coalesce(F.col("text"), F.lit(""))).mapInArrow(_score(model), kind)
+    """``row``, the columns of ``docs``, and ``score``."""
+    rows = docs.select(own_columns(docs))
+    kind = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(_score(model, docs.columns.index("text")), kind)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Network | float:
@@ -372,10 +375,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, model: Network | float | None =
     empty table no rows. Further columns are ignored. The training sample is bounded by
     ``SAMPLE``; scoring reads every window of every text."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
-    score = F.col("__score").alias("score")
-    return scored(rows, fit(docs, labels) if model is None else model).select("doc_id", "held_out", score, (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+    return scored(rows, fit(docs, labels) if model is None else model).select("row.doc_id", "row.held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, with their own columns."""
-    return scored(docs, fit(docs, labels)).filter("__score < 0.5").drop("__score")
+    return scored(docs, fit(docs, labels)).filter("score < 0.5").select("row.*")

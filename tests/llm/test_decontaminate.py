@@ -20,14 +20,14 @@ def brute(docs, items, size):
         w, hit, found = words(t), set(), set()
         for item, text in items:
             v = words(text)
-            if not v or item is None:
+            if not v:
                 continue
             wins = {tuple(v[k : k + size]) for k in range(max(1, len(v) - size + 1))}
             for n in {len(x) for x in wins}:
                 for s in range(len(w) - n + 1):
                     if tuple(w[s : s + n]) in wins:
                         hit.update(range(s, s + n))
-                        found.add(item)
+                        found |= set() if item is None else {item}
         ids = ",".join(sorted(map(str, found)))
         out.append((-1 if i is None else i, len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), bool(hit)))
     return sorted(out)
@@ -69,3 +69,21 @@ def test_proximity_of_replaced_words(spark):
     # beta and alpha are the rarest (of equal counts the first)
     got = {r.doc_id: (r.n_hit, r.n_near) for r in decontaminate(d, b).collect()}
     assert got == {1: (0, 1), 2: (4, 0), 3: (0, 0), 4: (0, 0)}
+
+
+def test_proximity_matches_its_sql(spark, tmp_path):
+    import duckdb
+
+    from agentlake.llm.oracles import DECONTAMINATE
+    from tests.compare import compare
+
+    docs = [(1, "alpha beta other delta"), (2, "alpha beta gamma delta"), (3, "gamma gamma delta delta"), (4, "alpha"), (5, "beta gap gap gap alpha beta gamma"), (6, "nameless item here"), (7, None)]
+    items = [(5, "alpha beta gamma delta"), (None, "nameless item"), (8, "nameless item here too"), (9, None)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    con = duckdb.connect()
+    for name, df in (("documents", d), ("benchmark", b)):
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}/*.parquet'")
+    assert compare(con, decontaminate(d, b), DECONTAMINATE) is None
+    got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in decontaminate(d, b).collect()}
+    assert got[6] == (2, 0, True)

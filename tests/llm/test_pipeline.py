@@ -95,3 +95,26 @@ def test_encoding(stages):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+CLASHES = ("__h", "__found", "__text", "__id", "__score", "__rules", "row", "h", "score", "bits", "text_hash", "doc id.x", "first", "changed", "masked")
+
+
+def test_clashing_columns_stay(spark):
+    texts = ["", None, "some words of no interest", "token: abcdefgh12345 x"]
+    docs = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t), *(f"{c}{i}" for c in CLASHES)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHES))
+    for name, fn in corpus_pipeline.STAGES[:-1]:
+        got = fn(spark, docs, SF)
+        assert got.columns == docs.columns, name
+        rows = {r.doc_id: r for r in got.collect()}
+        for i, r in rows.items():
+            assert all(r[c] == f"{c}{i}" for c in CLASHES), name
+        assert 3 in rows and (rows[3].text, rows[3].n_chars) == (("[secret] x", 10) if name == "secrets" else (texts[3], 22)), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 4
+
+
+def test_one_row_of_each_group(spark):
+    rows = [(1, "some text of one group"), (2, "some text of one group"), (1, "another thing altogether, not alike"), (3, "another thing altogether, not alike"), (None, "a third one, nameless"), (None, "a third one, nameless")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == [("1", rows[2][1]), ("1", rows[0][1]), ("None", rows[4][1])]
