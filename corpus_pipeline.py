@@ -4,7 +4,6 @@ contaminated texts go, secrets are masked, and what is left is encoded and decod
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from agentlake.llm.bpe_codec import encode_decode
 from agentlake.llm.decontaminate import uncontaminated
@@ -31,8 +30,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks the secrets in the texts; n_chars follows where a text changed."""
-    old = F.col("n_chars")
-    return redact(docs.withColumn("__size", F.length("text"))).withColumn("n_chars", F.when(F.length("text") == F.col("__size"), old).otherwise(F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), old))).drop("__size")
+    return redact(docs, size="n_chars")
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
