@@ -81,8 +81,8 @@ def session_imports(records: DataFrame, sessions: DataFrame, budget: int = SL.DE
 
 # A host is a function from its sources to canonical records.
 READERS: dict[str, Callable[..., DataFrame]] = {
-    "claude": lambda spark, root: TR.claude_records(TR.read_claude(spark, root)),
-    "codex": lambda spark, root: CX.codex_to_records(TR.read_codex(spark, root))[0],
+    "claude": lambda spark, root, **how: TR.claude_records(TR.read_claude(spark, root, **how)),
+    "codex": lambda spark, root, **how: CX.codex_to_records(TR.read_codex(spark, root, **how))[0],
     "cursor": lambda messages, meta: CU.cursor_to_records(messages, meta)[0],
 }
 CANONICAL = ("host", "session_id", "seq", "uuid", "ts", "type", "role", "cwd", "content_kind", "text", "blocks")

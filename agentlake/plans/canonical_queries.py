@@ -563,9 +563,8 @@ def _(v):
 # ---------------------------------------------------------------- sources and sinks
 
 
-@query("s01_read_claude", "SELECT session_id, seq AS record_seq, type, text, uuid, cwd FROM v_records")
-def _(v):
-    """S11 then S01: canonical records written as transcripts and read back."""
+def _written_transcripts(v: Views) -> str:
+    """The records of the views as transcript files below ``<folder>/<project>/``."""
     folder = scratch_folder(v.spark, "claude")
     rows = v.records.select(
         F.concat(F.lit("p-"), F.substring_index("session_id", "s", -1).cast("long") % 7).alias("project"), "session_id", "seq",
@@ -583,9 +582,14 @@ def _(v):
         rows.repartitionByRange("project", "session_id", "seq").sortWithinPartitions("project", "session_id", "seq")
         .select("project", "value").write.partitionBy("project").text(folder)
     )
-    lines, _ = TR.parse_jsonl(TR.raw_lines(v.spark, f"{folder}/*/*.txt", "claude"))
-    lines = lines.withColumn("session_id", V.text_at(F.col("v"), "$.session"))
-    out = TR.claude_records(lines)
+    return folder
+
+
+@query("s01_read_claude", "SELECT session_id, seq AS record_seq, type, text, uuid, cwd FROM v_records")
+def _(v):
+    """S11 then S01: canonical records written as transcripts and read back."""
+    lines = TR.read_claude(v.spark, _written_transcripts(v), "*.txt")
+    out = TR.claude_records(lines.withColumn("session_id", V.text_at(F.col("v"), "$.session")))
     return out.select("session_id", F.try_variant_get("v", "$.record_seq", "bigint").alias("record_seq"), "type", "text", "uuid", "cwd")
 
 
@@ -598,12 +602,50 @@ def _(v):
         F.to_json(F.struct(F.col("ts_raw").alias("timestamp"), "type", F.to_variant_object(F.struct(F.col("idx").alias("at"), F.col("session_id").alias("sid"))).alias("payload"))).alias("value"),
     )
     ev.repartitionByRange("day", "session_id", "idx").sortWithinPartitions("day", "session_id", "idx").select("day", "value").write.partitionBy("day").text(folder)
-    lines, _ = TR.parse_jsonl(TR.raw_lines(v.spark, folder, "codex", recursiveFileLookup="true", pathGlobFilter="*.txt"))
-    x = F.col("v")
-    return lines.select(
-        V.text_at(x, "$.payload.sid").alias("session_id"), F.try_variant_get(x, "$.payload.at", "bigint").alias("at"),
-        V.text_at(x, "$.type").alias("type"), V.text_at(x, "$.timestamp").alias("ts_raw"),
-    )
+    x = F.col("payload")
+    return TR.read_codex(v.spark, folder, "*.txt").select(V.text_at(x, "$.sid").alias("session_id"), F.try_variant_get(x, "$.at", "bigint").alias("at"), "type", "ts_raw")
+
+
+@query("u01_read_records", """SELECT 'type' AS kind, type AS name, count(*) AS records FROM v_records GROUP BY type
+    UNION ALL SELECT 'problem', CASE WHEN type IN ('user', 'assistant') THEN 'missing timestamp' ELSE 'bad type' END, count(*) FROM v_records GROUP BY 2""")
+def _(v):
+    """The registered reader of a host over its files, with what C24 finds in the records."""
+    records, problems = IM.read_records("claude", v.spark, _written_transcripts(v), pattern="*.txt")
+    types = records.groupBy(F.lit("type").alias("kind"), F.col("type").alias("name")).agg(F.count(F.lit(1)).alias("records"))
+    return types.unionByName(problems.groupBy(F.lit("problem").alias("kind"), F.col("problem").alias("name")).agg(F.count(F.lit(1)).alias("records")))
+
+
+_FILE_LINES = """SELECT conv_id % 7 AS project, conv_id, turn, concat('{{"conv_id":', conv_id, ',"turn":', turn, ',"text":"', {clean}, '"}}') AS value FROM {conversations}"""
+_FILE_SQL = "file_lines AS (" + _FILE_LINES.format(clean="regexp_replace(text, '[^A-Za-z é]', '', 'g')", conversations="conversations") + ")"
+
+
+def _line_files(v: Views) -> str:
+    """A file of lines for each project, ordered by conversation and turn."""
+    folder = scratch_folder(v.spark, "lines")
+    rows = v.sql(_FILE_LINES.format(clean="regexp_replace(text, '[^A-Za-z é]', '')", conversations="{conversations}"))
+    rows.repartition("project").sortWithinPartitions("project", "conv_id", "turn").select(F.concat(F.lit("p-"), "project").alias("project"), "value").write.partitionBy("project").text(folder)
+    return folder
+
+
+def _project():
+    return F.regexp_extract("path", "project=p-([0-9]+)", 1).cast("long").alias("project")
+
+
+@query("s05_tail_files", f"""WITH {_FILE_SQL}, o AS (SELECT project, strlen(value) + 1 AS n, row_number() OVER (PARTITION BY project ORDER BY conv_id, turn) AS line_no FROM file_lines)
+    SELECT project, count(*) AS records, 0 AS malformed, (SELECT CAST(sum(n) AS BIGINT) FROM o a WHERE a.project = o.project) AS consumed FROM o WHERE line_no > 10 * project GROUP BY project""")
+def _(v):
+    """S05 on files: what lies behind a cursor in each; the source cuts every file into many ranges."""
+    lines = TR.lines_of(v.spark, _line_files(v), "claude", "*.txt", 1, split_bytes=10_000)
+    rows = lines.select(F.col("path").alias("session_id"), "line_no", "byte_start", "byte_end", "complete", F.try_parse_json("raw").alias("v"))
+    cursors = rows.withColumnRenamed("session_id", "path").filter(F.col("line_no") == 10 * _project()).select(F.col("path").alias("session_id"), F.col("byte_end").alias("offset"))
+    return TR.tail_summary(rows, cursors).withColumnRenamed("session_id", "path").select(_project(), "records", "malformed", "consumed")
+
+
+@query("s06_catalog_listing", f"WITH {_FILE_SQL} SELECT 'claude' AS host, project, count(*) * 0 + 1 AS files, CAST(sum(strlen(value) + 1) AS BIGINT) AS size FROM file_lines GROUP BY project")
+def _(v):
+    """Session files and their sizes from the listing; no file is opened."""
+    found = TR.catalog(v.spark, _line_files(v), "claude", "*.txt")
+    return found.groupBy("host", _project()).agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("size"))
 
 
 @query(

@@ -266,11 +266,11 @@ def _(v):
 
 @query(
     "f28_working_on",
-    """WITH p AS (SELECT conv_id, turn, trim(regexp_replace(CASE turn % 4 WHEN 3 THEN concat('/', text) WHEN 2 THEN role ELSE text END, '\\s+', ' ', 'g')) AS p FROM conversations)
+    """WITH p AS (SELECT conv_id, turn, trim(regexp_replace(CASE turn % 4 WHEN 3 THEN concat('/', text) ELSE text END, '\\s+', ' ', 'g')) AS p FROM conversations)
     SELECT conv_id, turn, CASE WHEN length(p) >= 20 AND p NOT LIKE '/%' AND p NOT LIKE '!%' THEN concat(left(p, 120), CASE WHEN length(p) > 120 THEN '…' ELSE '' END) END AS working_on FROM p""",
 )
 def _(v):
-    p = F.expr("CASE turn % 4 WHEN 3 THEN concat('/', text) WHEN 2 THEN role ELSE text END")
+    p = F.expr("CASE turn % 4 WHEN 3 THEN concat('/', text) ELSE text END")
     return v.table("conversations").select("conv_id", "turn", T.working_on(p).alias("working_on"))
 
 

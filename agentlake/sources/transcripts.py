@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from agentlake.functions import ids as I
 from agentlake.functions.text import strip_ws
 from agentlake.functions import values as V
 from agentlake.operators.ordered import Running, running
+from agentlake.sources import scan as SC
 
 
 def allow_repeated_keys(spark: SparkSession) -> None:
@@ -18,7 +19,8 @@ def allow_repeated_keys(spark: SparkSession) -> None:
 
 
 def raw_lines(spark: SparkSession, path: str, host: str | None = None, **options: str) -> DataFrame:
-    """One row per line with true byte offsets.
+    """One row per line with true byte offsets, by Spark's text scan: for stores that only
+    the JVM reaches (``lines_of`` needs no shuffle).
 
     Lines end on ``\\n`` only. The offset of a line is the size of all lines before it in
     its file; the running sum is bucketed by file block, so a huge file stays split. A line
@@ -55,6 +57,33 @@ def raw_lines(spark: SparkSession, path: str, host: str | None = None, **options
     )
 
 
+def _transcripts(spark: SparkSession, root: str, pattern: str, depth: int | None, split_bytes: int, files: str) -> DataFrame:
+    spark.dataSource.register(SC.Transcripts)
+    options = {"path": root, "pattern": pattern, "split_bytes": str(split_bytes), "files": files}
+    return spark.read.format(SC.FORMAT).options(**options, **({} if depth is None else {"depth": str(depth)})).load()
+
+
+def lines_of(spark: SparkSession, root: str, host: str, pattern: str = "*.jsonl", depth: int | None = None, split_bytes: int = SC.SPLIT) -> DataFrame:
+    """One row per line with true byte offsets and line numbers, by the transcript source.
+
+    Bodies are not shuffled. Only files of several byte ranges need to know how many lines their
+    earlier ranges have; those counts, one row a range, are joined to them."""
+    if not SC.reachable(root):
+        below = "/".join([root.rstrip("/"), *["*"] * (depth or 0)])
+        more = {"recursiveFileLookup": "true"} if depth is None else {}
+        return raw_lines(spark, below, host, pathGlobFilter=pattern, **more)
+    rows = _transcripts(spark, root, pattern, depth, split_bytes, "whole").withColumn("line_no", F.col("line_in_split"))
+    if any(f.size > split_bytes for f in SC.list_files(root, pattern, depth)):
+        cut = _transcripts(spark, root, pattern, depth, split_bytes, "cut")
+        n = cut.groupBy("path", "split").agg(F.max("line_in_split").alias("n"))
+        earlier = W.partitionBy("path").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
+        before = n.select("path", "split", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+        cut = cut.join(before, ["path", "split"]).withColumn("line_no", F.col("before") + F.col("line_in_split"))
+        rows = rows.unionByName(cut.select(rows.columns))
+    text = F.regexp_replace(F.make_valid_utf8(F.col("raw").cast("string")), r"\r$", "")
+    return rows.select(F.lit(host).alias("host"), "path", "file_size", "modified", "line_no", "byte_start", "byte_end", "complete", text.alias("raw"))
+
+
 def parse_jsonl(lines: DataFrame, key: str = "path") -> tuple[DataFrame, DataFrame]:
     """``(records, counts)``. Blank lines are ignored, malformed ones skipped and
     counted; a file fails only when none of its lines parses."""
@@ -74,10 +103,10 @@ def _stem(path: Column) -> Column:
     return F.regexp_replace(F.substring_index(path, "/", -1), r"\.[^.]*$", "")
 
 
-def read_claude(spark: SparkSession, root: str) -> DataFrame:
+def read_claude(spark: SparkSession, root: str, pattern: str = "*.jsonl") -> DataFrame:
     """Transcripts one level below ``root/<project>/``; deeper files are not sessions."""
     allow_repeated_keys(spark)
-    lines, _ = parse_jsonl(raw_lines(spark, f"{root.rstrip('/')}/*/*.jsonl", "claude"))
+    lines, _ = parse_jsonl(lines_of(spark, root, "claude", pattern, 1))
     return lines.withColumn("session_id", _stem(F.col("path")))
 
 
@@ -119,10 +148,10 @@ def claude_records(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_codex(spark: SparkSession, root: str) -> DataFrame:
+def read_codex(spark: SparkSession, root: str, pattern: str = "rollout-*.jsonl") -> DataFrame:
     """Rollouts at any depth as events ``session_id, idx, ts_raw, type, payload``."""
     allow_repeated_keys(spark)
-    lines, _ = parse_jsonl(raw_lines(spark, root, "codex", recursiveFileLookup="true", pathGlobFilter="rollout-*.jsonl"))
+    lines, _ = parse_jsonl(lines_of(spark, root, "codex", pattern))
     v = F.col("v")
     return lines.select(
         I.rollout_session(F.col("path")).alias("session_id"),
@@ -164,9 +193,14 @@ def tail_summary(lines: DataFrame, cursors: DataFrame) -> DataFrame:
     )
 
 
-def catalog(lines: DataFrame) -> DataFrame:
-    """One row per session file."""
-    return lines.groupBy("host", "path").agg(F.first("file_size").alias("size"), F.first("modified").alias("mtime"))
+def catalog(spark: SparkSession, root: str, host: str = "claude", pattern: str | None = None) -> DataFrame:
+    """(host, session_id, path, size, mtime) of every session file, from the listing alone:
+    the scan has no column of contents, so no file is opened."""
+    nested = host == "codex"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern or ("rollout-*.jsonl" if nested else "*.jsonl"))
+    files = files.option("recursiveFileLookup", "true").load(root) if nested else files.load(f"{root.rstrip('/')}/*")
+    session = I.rollout_session(F.col("path")) if nested else _stem(F.col("path"))
+    return files.select(F.lit(host).alias("host"), session.alias("session_id"), "path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
 
 
 def list_sessions(sessions: DataFrame, host: str = "all", limit: int = 20) -> DataFrame:
