@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,10 +14,12 @@ from pyspark.sql.window import Window
 from agentlake.functions import ids as I
 from agentlake.functions import text as T
 from agentlake.functions import values as V
-from agentlake.operators.ordered import WIDTH, Running, bucket_of, fold_sorted, running
+from agentlake.operators.ordered import WIDTH, Running, bucket_of, running
 from agentlake.session import materialize
 
 COUNTERS = ("input_tokens", "cached_input_tokens", "cache_write_input_tokens", "output_tokens")
+BLOCK, SHORT, FAN = 1_024, 64, 128
+_ENTERED = [f"e_{c}" for c in COUNTERS]
 USAGE_TYPE = (
     "struct<input_tokens:bigint,output_tokens:bigint,"
     "cache_read_input_tokens:bigint,cache_creation_input_tokens:bigint>"
@@ -108,18 +112,139 @@ def snapshots(events: DataFrame) -> DataFrame:
     return out.filter(ok)
 
 
-def _enter_runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    session, state = None, (0, 0, 0, 0)
+class Stairs:
+    """What consecutive snapshots do to the last accepted one: the first of ``at`` that is nowhere
+    below it turns it into its ``to``; if there is none, it stays."""
+
+    def __init__(self, at: np.ndarray, to: np.ndarray):
+        self.at, self.to = at, to
+
+    @classmethod
+    def of_rows(cls, x: np.ndarray) -> Stairs:
+        step = None
+        for i in range(0, len(x), BLOCK):
+            reach, nxt = _reach(x[i : i + BLOCK]), _next_accepted(x[i : i + BLOCK])
+            while not np.array_equal(nxt[nxt], nxt):
+                nxt = nxt[nxt]
+            first = ~np.tril(reach, -1).any(axis=1)  # an earlier row would be accepted in its place
+            part = cls(x[i : i + BLOCK][first], x[i : i + BLOCK][nxt][first])._thin()
+            step = step.then(part) if step else part
+        return step
+
+    @classmethod
+    def read(cls, raw: bytes) -> Stairs:
+        both = np.frombuffer(raw, np.int64).reshape(2, -1, len(COUNTERS))
+        return cls(both[0], both[1])
+
+    def raw(self) -> bytes:
+        return np.stack([self.at, self.to]).astype(np.int64).tobytes()
+
+    def _thin(self) -> Stairs:
+        """Without steps whose next one is above them and leads to the same end."""
+        spare = np.zeros(len(self.at), dtype=bool)
+        spare[:-1] = (self.at[1:] >= self.at[:-1]).all(axis=1) & (self.to[1:] == self.to[:-1]).all(axis=1)
+        return Stairs(self.at[~spare], self.to[~spare])
+
+    def apply(self, states: np.ndarray) -> np.ndarray:
+        if not len(self.at):
+            return states
+        hit = (self.at[None, :, :] >= states[:, None, :]).all(axis=2)
+        return np.where(hit.any(axis=1)[:, None], self.to[hit.argmax(axis=1)], states)
+
+    def then(self, other: Stairs) -> Stairs:
+        """These snapshots and the next ones as one."""
+        fresh = ~(self.at[None, :, :] >= other.at[:, None, :]).all(axis=2).any(axis=1) if len(self.at) else np.ones(len(other.at), dtype=bool)
+        return Stairs(np.concatenate([self.at, other.at[fresh]]), np.concatenate([other.apply(self.to), other.to[fresh]]))._thin()
+
+
+def _reach(x: np.ndarray) -> np.ndarray:
+    """Whether no counter of row j is below that of row i."""
+    out = np.ones((len(x), len(x)), dtype=bool)
+    for c in range(x.shape[1]):
+        out &= x[:, c][:, None] <= x[:, c][None, :]
+    return out
+
+
+def _next_accepted(x: np.ndarray) -> np.ndarray:
+    """The row accepted next after row i, or i itself."""
+    later = np.triu(_reach(x), 1)
+    return np.where(later.any(axis=1), later.argmax(axis=1), np.arange(len(x)))
+
+
+def _counters(pdf: pd.DataFrame) -> np.ndarray:
+    return pdf.sort_values("run")[list(COUNTERS)].to_numpy(dtype="int64")
+
+
+def _stairs(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame([(*key, Stairs.of_rows(_counters(pdf)).raw())], columns=["session_id", "bucket", "stairs"])
+
+
+def _joined(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
+    steps = [Stairs.read(raw) for raw in pdf.sort_values("bucket")["stairs"]]
+    step = steps[0]
+    for other in steps[1:]:
+        step = step.then(other)
+    return pd.DataFrame([(*key, step.raw())], columns=["session_id", "bucket", "stairs"])
+
+
+def _states(pdf: pd.DataFrame, state: np.ndarray) -> pd.DataFrame:
+    """The last accepted snapshot before each of some consecutive buckets."""
+    out = []
+    for session, bucket, raw in pdf.sort_values("bucket")[["session_id", "bucket", "stairs"]].itertuples(index=False):
+        out.append((session, bucket, *state[0].tolist()))
+        state = Stairs.read(raw).apply(state)
+    return pd.DataFrame(out, columns=["session_id", "bucket", *_ENTERED])
+
+
+def _from_zero(pdf: pd.DataFrame) -> pd.DataFrame:
+    return _states(pdf, np.zeros((1, len(COUNTERS)), dtype=np.int64))
+
+
+def _from_above(key: tuple[Any, ...], pdf: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+    return _states(pdf, entry[_ENTERED].to_numpy(dtype="int64")[:1])
+
+
+def _accepted(x: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The last accepted snapshot before each of some rows, and behind them."""
+    out = np.empty_like(x)
+    for i in range(0, len(x), BLOCK):
+        part = x[i : i + BLOCK]
+        nxt, at, over = _next_accepted(part), [], (part >= state).all(axis=1)
+        j = int(over.argmax()) if over.any() else len(part)
+        while j < len(part):
+            at.append(j)
+            j = int(nxt[j]) if nxt[j] > j else len(part)
+        states = np.concatenate([state[None, :], part[at]])
+        out[i : i + BLOCK] = states[np.searchsorted(np.array(at, dtype=np.int64), np.arange(len(part)), side="left")]
+        state = states[-1]
+    return out, state
+
+
+def _inside(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows come sorted by (session, bucket, run), each with the snapshot its bucket begins with."""
+    now, state = None, None
     for pdf in frames:
-        out = []
-        for s, b, r, *last in pdf.itertuples(index=False):
-            if s != session:
-                session, state = s, (0, 0, 0, 0)
-            out.append((s, b, r, *state))
-            if all(x >= y for x, y in zip(last, state)):
-                state = tuple(last)
-        if out:
-            yield pd.DataFrame(out, columns=["session_id", "bucket", "run", *[f"e_{c}" for c in COUNTERS]])
+        x, entry = pdf[list(COUNTERS)].to_numpy(dtype="int64"), pdf[_ENTERED].to_numpy(dtype="int64")
+        session, bucket = pdf["session_id"].to_numpy(), pdf["bucket"].to_numpy()
+        if not len(x):
+            continue
+        begin = np.flatnonzero(np.concatenate(([True], (session[1:] != session[:-1]) | (bucket[1:] != bucket[:-1]))))
+        size = np.diff(np.append(begin, len(x)))
+        states = entry[begin]
+        if (session[0], bucket[0]) == now:
+            states[0] = state
+        for k in range(min(SHORT, int(size.max()))):  # row k of all buckets at once
+            on = size > k
+            at = begin[on] + k
+            entry[at] = states[on]
+            states[on] = np.where((x[at] >= states[on]).all(axis=1)[:, None], x[at], states[on])
+        for i in np.flatnonzero(size > SHORT):
+            a, b = begin[i] + SHORT, begin[i] + size[i]
+            entry[a:b], states[i] = _accepted(x[a:b], states[i])
+        now, state = (session[-1], bucket[-1]), states[-1]
+        out = pdf[["session_id", "bucket", "run"]].copy()
+        out[_ENTERED] = entry
+        yield out
 
 
 def usage_deltas(snaps: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -128,7 +253,8 @@ def usage_deltas(snaps: DataFrame, width: int = WIDTH) -> DataFrame:
 
     Inside a stretch where no counter falls, one accepted snapshot makes all later ones
     accepted, so a stretch acts on the last accepted snapshot by its last row alone. The
-    fold therefore walks one row per stretch; all rows are then judged in parallel."""
+    stretches of a bucket are reduced to ``Stairs``, those of ``FAN`` buckets are composed, and
+    the state that enters goes down again; all rows are then judged in parallel."""
     rows = snaps.select(
         F.col("session_id").cast("string").alias("session_id"), F.col("idx").cast("long").alias("idx"),
         *[F.col(c).cast("long").alias(c) for c in COUNTERS],
@@ -139,11 +265,17 @@ def usage_deltas(snaps: DataFrame, width: int = WIDTH) -> DataFrame:
         falls = falls | (F.col(c) < F.lag(c).over(w))
     rows = rows.withColumn("falls", F.coalesce(falls, F.lit(False)).cast("int"))
     rows = rows.withColumn("run", F.sum("falls").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("falls")
-    ends = rows.groupBy("session_id", "bucket", "run").agg(*[F.max(c).alias(c) for c in COUNTERS])
-    entry = fold_sorted(
-        ends, ["session_id"], ["bucket", "run"], _enter_runs,
-        "session_id string, bucket long, run long, " + ", ".join(f"e_{c} long" for c in COUNTERS),
-    )
+    ends = materialize(rows.groupBy("session_id", "bucket", "run").agg(*[F.max(c).alias(c) for c in COUNTERS]), "stretches")
+    entered = ", ".join(f"{c} long" for c in _ENTERED)
+    # sessions of one bucket begin at zero; only the longer ones are summarized
+    long_ones = ends.groupBy("session_id").agg(F.min("bucket").alias("a"), F.max("bucket").alias("b")).filter(F.col("a") < F.col("b"))
+    stairs = ends.join(long_ones.select("session_id"), "session_id", "left_semi").groupBy("session_id", "bucket").applyInPandas(_stairs, "session_id string, bucket long, stairs binary")
+    parts = stairs.withColumn("part", F.floor(F.col("bucket") / FAN).cast("long"))
+    tops = parts.groupBy("session_id", "part").applyInPandas(_joined, "session_id string, bucket long, stairs binary")
+    above = tops.groupBy("session_id").applyInPandas(_from_zero, f"session_id string, bucket long, {entered}").toDF("session_id", "part", *_ENTERED)
+    into = parts.groupBy("session_id", "part").cogroup(above.groupBy("session_id", "part")).applyInPandas(_from_above, f"session_id string, bucket long, {entered}")
+    begun = ends.join(into, ["session_id", "bucket"], "left").na.fill(0, _ENTERED)
+    entry = begun.repartition("session_id", "bucket").sortWithinPartitions("session_id", "bucket", "run").mapInPandas(_inside, f"session_id string, bucket long, run long, {entered}")
     at = rows.join(entry, ["session_id", "bucket", "run"])
     ok = F.lit(True)
     for c in COUNTERS:

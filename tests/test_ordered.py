@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -53,11 +55,63 @@ def test_slices_equal_greedy(spark):
             want[(sid, i)] = g
     df = spark.createDataFrame(rows, "session_id string, seq long, size long")
     for width in (7, 64, 10_000):
-        got = {(r.session_id, r.seq): r.slice for r in SL.slices(df, 100, width=width).collect()}
+        got = {(r.session_id, r.seq): r.slice for r in SL.slices(df, 100, width=width, fan=5).collect()}
         assert got == want
     assert {r.slice for r in SL.slices(df, 0).collect()} == {1}
 
 
+def test_steps_compose():
+    rnd = random.Random(21)
+    for _ in range(300):
+        budget = rnd.choice([1, 7, 40, 1000])
+        runs = [np.array([rnd.choice([0, 1, 2, 5, 30, 90]) for _ in range(rnd.randint(1, 12))], dtype=np.int64) for _ in range(rnd.randint(1, 6))]
+        steps = [SL.Step.of_run(x, budget) for x in runs]
+        for c in [-1, *range(0, budget + 1, max(1, budget // 9))]:
+            used, n = c, 10 if c >= 0 else 0
+            for size in np.concatenate(runs).tolist():
+                if used < 0 or used + size > budget:
+                    n, used = n + 1, size
+                else:
+                    used += size
+            one = steps[0]
+            for other in steps[1:]:
+                one = one.then(other)
+            state = (np.array([c]), np.array([10 if c >= 0 else 0]))
+            assert [int(v[0]) for v in one.apply(*state)] == [used, n]
+
+
+def test_small_records_make_small_functions():
+    size = np.full(16_384, 100, dtype=np.int64)
+    assert len(SL.Step.of_run(size, 3_500_000).above) <= 16_384
+    assert len(SL.Step.of_run(size, 10_000).above) <= 101
+
+
+def test_stairs_compose():
+    rnd = random.Random(22)
+    for _ in range(300):
+        total, parts = [0, 0, 0, 0], []
+        for _ in range(rnd.randint(1, 5)):
+            rows = []
+            for _ in range(rnd.randint(1, 12)):
+                total = [t + rnd.choice([0, 1, 3]) for t in total]
+                rows.append([max(0, t - rnd.choice([0, 0, 5])) for t in total])
+            parts.append(np.array(rows, dtype=np.int64))
+        step = CX.Stairs.of_rows(parts[0])
+        for x in parts[1:]:
+            step = step.then(CX.Stairs.of_rows(x))
+        for state in ([0, 0, 0, 0], parts[0][0].tolist(), [rnd.randint(0, 9) for _ in range(4)]):
+            want = state
+            for row in np.concatenate(parts).tolist():
+                want = row if all(a >= b for a, b in zip(row, want, strict=True)) else want
+            assert step.apply(np.array([state], dtype=np.int64))[0].tolist() == want
+
+
+def test_interleaved_counters_leave_one_step():
+    a = np.arange(500)[:, None] * np.ones(4, dtype=np.int64)[None, :]
+    both = np.stack([a, a + 100_000], axis=1).reshape(-1, 4).astype(np.int64)
+    assert len(CX.Stairs.of_rows(both).at) == 1
+
+
 def test_usage_deltas_equal_fold(spark):
     rnd = random.Random(3)
     rows, want = [], {}
