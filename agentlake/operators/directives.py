@@ -154,8 +154,9 @@ def recall(
 
     A call never meets all matching directives. Of the directives that share a token, only
     the k best plus as many as the session excludes can reach its top k: any other one is
-    outranked by k that match at least as long. So each (scope, token) is cut to that many
-    before the join, and the result stays exact."""
+    outranked by k that match at least as long. So each (scope, token) is cut to k before the
+    join, a session with exclusions adds as many places as it excludes there, and the result
+    stays exact; no session's exclusions widen the join of another."""
     cols = ["id", "scope", "seen", "pos", "trigger_pos", "trigger", "token"]
     base = directives.select("id", F.coalesce("repo", F.lit("")).alias("scope"), "seen", "pos", "triggers")
     none = [F.lit(None).cast("int").alias("trigger_pos"), F.lit(None).cast("string").alias("trigger")]
@@ -173,12 +174,15 @@ def recall(
         .groupBy("session_id", "scope", "token")
         .agg(F.count(F.lit(1)).alias("excluded"))
     )
-    deepest = F.coalesce(excluded.agg(F.max("excluded")).scalar(), F.lit(0))
     per_token = tokens.groupBy("scope", "token", "id").agg(
         F.min_by(F.struct("trigger_pos", "trigger"), F.col("trigger_pos")).alias("t"), F.first("seen").alias("seen"), F.first("pos").alias("pos")
     )
     w = Window.partitionBy("scope", "token").orderBy(F.col("seen").desc(), "pos")
-    ranked = per_token.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k + deepest)
+    ranked = per_token.withColumn("place", F.row_number().over(w))
+    top = ranked.filter(F.col("place") <= k).drop("place")
+    # what moves up for a session: one place for each directive it excludes
+    places = excluded.withColumn("place", F.explode(F.expr(f"sequence({k} + 1, cast({k} + excluded AS int))"))).drop("excluded")
+    deeper = places.join(ranked, ["scope", "token", "place"]).drop("place")
 
     # the calls are read three times below; keeping the four narrow columns costs less than
     # classifying every event again
@@ -188,8 +192,9 @@ def recall(
 
     def open_to(asked: DataFrame) -> DataFrame:
         """The directives of each asked (session, scope, token) that can still reach a top k."""
-        near = asked.join(excluded, ["session_id", "scope", "token"], "left").join(ranked, ["scope", "token"])
-        return near.filter(F.col("place") <= k + F.coalesce("excluded", F.lit(0))).join(out_of, ["session_id", "id"], "left_anti")
+        near = asked.join(top, ["scope", "token"])
+        far = asked.join(deeper, ["session_id", "scope", "token"])
+        return near.unionByName(far).join(out_of, ["session_id", "id"], "left_anti")
 
     fields = ["call_id", "session_id", "id", "token", "t", "seen", "pos"]
     hits = token_hits(own, real)

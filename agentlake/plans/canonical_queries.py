@@ -269,6 +269,26 @@ def _(v):
     return R.validate(CX.codex_to_records(rollout_events(v))[0])
 
 
+@query(
+    "c24_validate_blocks",
+    """SELECT event_id AS seq, CASE event_id % 4 WHEN 0 THEN 'malformed block' WHEN 1 THEN 'tool_use without id' ELSE 'tool_result without tool_use_id' END AS problem FROM events
+    WHERE event_id % 4 = 0 OR event_id % 4 = 1 AND event_type = 'click' OR event_id % 4 = 2 AND user_id % 5 = 0""",
+)
+def _(v):
+    """Blocks without a type, an id or the id they answer."""
+    kind = F.expr("CASE event_id % 4 WHEN 1 THEN 'tool_use' WHEN 2 THEN 'tool_result' WHEN 3 THEN 'text' END")
+    known = F.concat(F.lit("call"), F.col("event_id").cast("string"))
+    block = F.struct(
+        kind.alias("type"), F.lit("t").alias("text"), F.lit(None).cast("string").alias("thinking"), F.when(F.col("event_type") != "click", known).alias("id"), F.lit("sh").alias("name"), F.lit(None).cast("string").alias("input"),
+        F.when(F.col("user_id") % 5 != 0, known).otherwise("").alias("tool_use_id"), F.lit(None).cast("string").alias("content"),
+    )
+    rows = v.table("events").select(
+        F.concat(F.lit("s"), "user_id").alias("session_id"), F.col("event_id").alias("seq"), F.lit("user").alias("type"), known.alias("uuid"), F.lit("2026-01-01T00:00:00Z").alias("ts"), F.lit("user").alias("role"),
+        F.lit("array").alias("content_kind"), F.array(block).alias("blocks"),
+    )
+    return R.validate(rows).select("seq", "problem")
+
+
 @query(
     "c24_validate_raw_rows",
     """WITH p AS (SELECT session_id, seq, type, uuid FROM v_records)
@@ -757,7 +777,10 @@ def _(v):
         """SELECT event_id, CASE WHEN event_id % 9 = 8 THEN '[1]' WHEN event_id % 6 = 5 THEN concat('{"conversation_id":"u', user_id, '","tool_input":{"command":"run ', event_id, '"}}')
         ELSE concat('{"hook_event_name":"PostToolUse","session_id":"u', user_id, '","tool_input":{"command":"run ', event_id, '"}}') END AS value FROM {events}"""
     )
-    return ST.parse_hook_events(lines).select("event_id", "event", "session_id", V.text_at(F.col("tool_input"), "$.command").alias("command"))
+    folder = scratch_folder(v.spark, "hooks")
+    lines.select("value").write.text(folder)
+    command = V.text_at(F.col("tool_input"), "$.command")
+    return ST.read_hook_events(v.spark, folder).select(F.regexp_extract(command, "[0-9]+$", 0).cast("long").alias("event_id"), "event", "session_id", command.alias("command"))
 
 
 @query("s11_write_canonical", "SELECT session_id, seq, type, text, uuid, ts_s, cwd FROM v_records")
@@ -824,7 +847,9 @@ def _(v):
         """SELECT s_suppkey AS repo, CASE s_suppkey % 5 WHEN 3 THEN '{bad' WHEN 4 THEN '{"links": 1}' ELSE
         concat('{"links":[{"glob":"app/', s_suppkey, '/**","artifact_id":"a', s_suppkey, '"},3,{"glob":"docs/*.md","artifact_id":"d', s_suppkey, '"}]}') END AS value FROM {supplier}"""
     )
-    return ST.parse_links(docs).select("repo", "glob", "artifact_id")
+    folder = scratch_folder(v.spark, "links")
+    docs.repartition("repo").write.partitionBy("repo").text(folder)
+    return ST.read_links(v.spark, folder).select(F.regexp_extract("path", "repo=([0-9]+)", 1).cast("long").alias("repo"), "glob", "artifact_id")
 
 
 @query(
