@@ -109,3 +109,15 @@ def test_readers_are_dispatched_and_checked(spark, tmp_path):
         IM.read_records("bare", spark)
     _, counts = TR.parse_jsonl(TR.raw_lines(spark, f"{tmp_path}/*/*.jsonl", "claude"))
     assert [(r.records, r.malformed, r.blank) for r in counts.collect()] == [(2, 0, 1)]
+
+
+def test_imports_refuse_unknown_platforms(spark):
+    import pytest
+
+    records = spark.createDataFrame([("s1", 1, "{}"), ("s2", 1, "{}")], "session_id string, seq long, record string")
+    sliced = spark.createDataFrame([("s1", 1, 1), ("s2", 1, 1)], "session_id string, seq long, slice long")
+    sessions = lambda host: spark.createDataFrame([("s1", "claude", "t", "b", "o", "n"), ("s2", host, "t", "b", "o", "n")], "session_id string, host string, title string, brain_id string, org_id string, namespace string")
+    assert sorted(r.source_platform for r in ST.build_imports(records, sliced, sessions("codex")).collect()) == ["claude", "codex"]
+    for host in ("other", None):
+        with pytest.raises(Exception, match="unknown source platform"):
+            ST.build_imports(records, sliced, sessions(host)).collect()
