@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from agentlake.llm.native import own_columns
 
 #: Words in a window; one begins at every word that has so many from it on. Windows scored at once.
-LENGTH, SLIDE = 32, 2048
+LENGTH, SLIDE = 32, 4096
 #: Bound of the training sample (rows of each class), of the learned vocabulary, sizes of the network.
 SAMPLE, VOCABULARY, WORD_DIM, CHAR_DIM, BUCKETS, HIDDEN = (900, 2200), 12_000, 8, 8, 512, 8
 EPOCHS, BATCH, MEMO, SEED = 8, 96, 300_000, 7
@@ -60,6 +60,13 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(np.minimum(-x, 80)))
 
 
+def _inverse(y: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(y)), in place."""
+    np.exp(y, out=y)
+    y += 1
+    return np.reciprocal(y, out=y)
+
+
 class Network:
     """Parameters, forward pass, gradients."""
 
@@ -126,35 +133,37 @@ class Network:
         """Probabilities of the windows at every place of ``words`` (rows of ``terms``, ``LENGTH`` at
         least), as ``forward`` has them; features are rows here, so each step reads a slice."""
         p, h, n = self.p, HIDDEN, len(words) - LENGTH + 1
+        # The exponential costs half of tanh: 1 - z, r and (1 - new) / 2 are all 1 / (1 + exp(y)) of
+        # y = the update gate's input, minus the reset gate's, twice the candidate's.
+        scale = np.repeat(np.array([1, -1, 2], terms.dtype), h)[:, None]
         g = np.ascontiguousarray(terms[words].T)
         states, score, value = np.empty((LENGTH, h, n), g.dtype), np.empty((LENGTH, n), g.dtype), np.empty((LENGTH, n), g.dtype)
-        hu, zr, mix, new = np.empty((3 * h, n), g.dtype), np.empty((2 * h, n), g.dtype), np.empty((h, n), g.dtype), np.empty((h, n), g.dtype)
-        a, bias = np.ascontiguousarray(p["A"].T), p["a"][:, None]
-        for d, x in (("f", g[: 3 * h]), ("b", g[3 * h :])):
-            u, state = np.ascontiguousarray(p[f"U{d}"].T), np.zeros((h, n), g.dtype)
-            u[: 2 * h] *= 0.5  # a sigmoid is a tanh of half its argument
-            x[: 2 * h] *= 0.5
-            for t in range(LENGTH) if d == "f" else range(LENGTH - 1, -1, -1):
-                np.matmul(u, state, out=hu)
-                np.add(hu[: 2 * h], x[: 2 * h, t : t + n], out=zr)
-                np.tanh(zr, out=zr)
-                zr *= 0.5
-                np.add(zr[h:], 0.5, out=mix)
-                np.multiply(mix, hu[2 * h :], out=new)
-                new += x[2 * h :, t : t + n]
-                np.tanh(new, out=new)
-                new -= state
-                np.subtract(0.5, zr[:h], out=mix)
-                new *= mix
-                state += new
-                if d == "f":
-                    states[t] = state
-                else:
-                    e = a[:, :h] @ states[t]
-                    e += a[:, h:] @ state
-                    e += bias
-                    score[t] = p["u"] @ np.tanh(e, out=e)
-                    value[t] = p["w"][:h] @ states[t] + p["w"][h:] @ state
+        hu, gates, new = np.empty((3 * h, n), g.dtype), np.empty((2 * h, n), g.dtype), np.empty((h, n), g.dtype)
+        a, bias, u_e = np.ascontiguousarray(2 * p["A"].T), 2 * p["a"][:, None], p["u"]
+        with np.errstate(over="ignore"):  # exp(y) may become infinite, its inverse is 0 then
+            for d, x in (("f", g[: 3 * h]), ("b", g[3 * h :])):
+                u, state = np.ascontiguousarray(p[f"U{d}"].T) * scale, np.zeros((h, n), g.dtype)
+                x *= scale
+                for t in range(LENGTH) if d == "f" else range(LENGTH - 1, -1, -1):
+                    np.matmul(u, state, out=hu)
+                    np.add(hu[: 2 * h], x[: 2 * h, t : t + n], out=gates)
+                    _inverse(gates)
+                    np.multiply(gates[h:], hu[2 * h :], out=new)
+                    new += x[2 * h :, t : t + n]
+                    _inverse(new)
+                    new *= -2
+                    new += 1
+                    new -= state
+                    new *= gates[:h]
+                    state += new
+                    if d == "f":
+                        states[t] = state
+                    else:
+                        e = a[:, :h] @ states[t]
+                        e += a[:, h:] @ state
+                        e += bias
+                        score[t] = u_e.sum() - 2 * (u_e @ _inverse(e))
+                        value[t] = p["w"][:h] @ states[t] + p["w"][h:] @ state
         weight = np.exp(score - score.max(axis=0))
         return _sigmoid((weight * value).sum(axis=0) / weight.sum(axis=0) + p["c"])
 
