@@ -17,16 +17,24 @@ def compiled_links(links: DataFrame) -> DataFrame:
     return good.join(globs, "glob").filter(F.col("regex").isNotNull())
 
 
+def candidates(paths: DataFrame, compiled: DataFrame) -> DataFrame:
+    """Rows of ``paths`` (repo, rel_path, ..) with the compiled links of their repo that agree with
+    the path in depth and in every segment a glob spells out, by equality alone. A repo has few
+    shapes of globs however many links it has, so a path makes one key for each of them."""
+    shapes = compiled.select("repo", F.explode("keys.shape").alias("shape")).groupBy("repo").agg(F.collect_set("shape").alias("shapes"))
+    keyed = paths.join(shapes, "repo").withColumn("k", F.explode(path_keys(F.col("rel_path"), F.col("shapes")))).drop("shapes")
+    by_key = compiled.withColumn("k", F.explode("keys")).drop("keys")
+    return keyed.select("*", "k.shape", "k.key").drop("k").join(by_key.select("*", "k.shape", "k.key").drop("k"), ["repo", "shape", "key"]).drop("shape", "key")
+
+
 def governing_artifacts(edits: DataFrame, links: DataFrame) -> DataFrame:
     """Links whose glob covers an edited path of the same repo.
 
-    Candidates come from one equality join on (repo, key): the literal folder or name a glob
-    demands against the folders and the name a path has. The pattern test then runs on
-    distinct (repo, path) only, and edits join their path's result by equality."""
+    Candidates agree in depth and spelled-out segments (``candidates``); the pattern test, for
+    wildcards inside a segment and texts between two ``**``, then runs on distinct (repo, path)
+    only, and edits join their path's result by equality."""
     paths = edits.select("repo", "rel_path").distinct()
-    keyed = paths.select("repo", "rel_path", F.explode(path_keys(F.col("rel_path"))).alias("key"))
-    compiled = compiled_links(links).withColumn("key", F.explode("keys")).drop("keys")
-    hit = keyed.join(compiled, ["repo", "key"]).filter(F.rlike(F.col("rel_path"), F.col("regex"))).drop("regex", "key", "glob")
+    hit = candidates(paths, compiled_links(links)).filter(F.rlike(F.col("rel_path"), F.col("regex"))).drop("regex", "glob")
     return edits.join(hit.distinct(), ["repo", "rel_path"])
 
 

@@ -195,12 +195,9 @@ def _(v):
 @query("st06_first_reminders", f"WITH {AQ._GOVERNED_SQL} SELECT session_id, artifact_id, min(event_id) AS event_id FROM m GROUP BY session_id, artifact_id")
 def _(v):
     """Reminders as a stream: edits joined to the static links, each artifact once per session."""
-    from agentlake.functions.globs import path_keys
-
     edits = stream_view(v, "v_hook").filter(F.col("tool_name") == "Edit").select(
         "session_id", "event_id", F.element_at(F.split("file_path", "/"), 3).alias("repo"), F.regexp_replace("file_path", "^/w/[^/]+/", "").alias("rel_path")
     )
-    links = A.compiled_links(AQ.links(v)).select("repo", "artifact_id", "regex", F.explode("keys").alias("key"))
-    hit = edits.withColumn("key", F.explode(path_keys(F.col("rel_path")))).join(links, ["repo", "key"])
-    hit = hit.filter(F.rlike(F.col("rel_path"), F.col("regex"))).select("session_id", "artifact_id", "event_id")
+    links = A.compiled_links(AQ.links(v)).select("repo", "artifact_id", "regex", "keys")
+    hit = A.candidates(edits, links).filter(F.rlike(F.col("rel_path"), F.col("regex"))).select("session_id", "artifact_id", "event_id")
     return finish(v, S.once_per_session(hit, "artifact_id"), timed=True)

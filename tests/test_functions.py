@@ -115,9 +115,7 @@ def test_globs(spark):
     rows = spark.createDataFrame([(i, g, p) for i, (g, p, _) in enumerate(cases)], "i int, g string, p string")
     got = rows.withColumn("re", G.compile_glob("g")).orderBy("i").select(G.glob_match(F.col("p"), F.col("re"))).collect()
     assert [r[0] for r in got] == [c[2] for c in cases]
-    # the join keys never lose a match
-    keys = rows.withColumn("k", G.compile_keys("g")).withColumn("re", G.compile_glob("g")).filter(G.glob_match(F.col("p"), F.col("re")))
-    assert keys.filter(~F.arrays_overlap("k", G.path_keys(F.col("p")))).count() == 0
+    assert G.glob_keys("app/**/*.py|a/?/c") == [("2+,1=,-1.", "app/py"), ("3,1=,3=", "a/c")]
 
 
 def test_token_rules(spark):
@@ -183,13 +181,28 @@ def test_failure_behind_many_newer_rows(spark):
     assert [r.session_id for r in H.recent_failure(state, 3000).collect()] == ["s0"]
 
 
-def test_glob_keys_are_among_the_keys_of_matching_paths(spark):
-    from agentlake.functions import globs as G
-
-    paths = ["a.py", "src/a.py", "src/x/b.test.py", "docs/readme", "src/.env", "a.b/c", "x.py/y"]
-    for glob in ("**/*.py", "*.test.py", "src/**", "**/*", "{a,b}.py", "**/.env", "*", "**/*.{py,md}", "**/c", "*.b/*"):
-        keys, regex = G.glob_keys(glob), G.glob_regex(glob)
-        hits = each(spark, paths, lambda c: F.rlike(c, F.lit(regex)))
-        have = each(spark, paths, G.path_keys)
-        assert all(set(keys) & set(k) for h, k in zip(hits, have) if h), glob
-    assert G.glob_keys("**/*.py") == ["ext:py"]
+def test_candidates_keep_every_match_and_little_else(spark):
+    import random
+    import re
+
+    from agentlake.operators import artifacts as A
+
+    rnd = random.Random(3)
+    names = ["a", "b", "src", "x.py", "y.md", "a.b", ".env", "", "a,b=", "1"]
+    signs = ["*", "**", "?", "*.py", "a*", "**.py", "a**", "x?py", "*.*"]
+    paths = sorted({"/".join(rnd.choice(names) for _ in range(rnd.randint(1, 5))) for _ in range(250)})
+    globs = sorted({"/".join(rnd.choice(names + signs) for _ in range(rnd.randint(1, 4))) for _ in range(250)})
+    globs += ["**", "**/src/**", "**/*", "{a,b}/*.py|**/y.md", "src/**/a/**/x.py", "|", "a,{b,**}/1"]
+    edits = spark.createDataFrame([(r, p) for r in ("r1", "r2") for p in paths], "repo string, rel_path string")
+    links = spark.createDataFrame([("r1" if i % 4 else "r2", g, f"l{i}", "s") for i, g in enumerate(globs)], "repo string, glob string, artifact_id string, brain_id string")
+    want = set()
+    for i, g in enumerate(globs):
+        pattern = G.glob_regex(g)
+        want |= {("r1" if i % 4 else "r2", p, f"l{i}") for p in paths if pattern and re.search(pattern.replace(r"\z", r"\Z"), p)}
+    got = A.governing_artifacts(edits, links).select("repo", "rel_path", "artifact_id").collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    # where every segment is literal, an extension or a whole ``**``, the join gives matches alone;
+    # a text between two ``**`` may stand last, too
+    whole = spark.createDataFrame([("r1", g, g, "s") for g in ("a/b", "**/a/x.py", "src/**/*.py", "**/src/**", "**")], links.schema)
+    lost = A.candidates(edits, A.compiled_links(whole)).filter(~F.rlike("rel_path", "regex")).distinct().collect()
+    assert all(r.glob == "**/src/**" and r.rel_path.endswith("src") for r in lost)
