@@ -4,7 +4,9 @@ A plain ``Window.partitionBy(session)`` sends every row of a session to one task
 one session with a third of all rows decides the run time. Here a key is cut into
 consecutive buckets of its order column. Each bucket is reduced to one summary row,
 the summaries are scanned per key (thousands of times fewer rows), and the carry-in
-is joined back onto the bucket. The result equals the plain window.
+is joined back onto the bucket. The result equals the plain window. Sparse order values can
+make a bucket of every row, so the summaries are scanned in the same two steps: inside groups
+of neighbouring buckets, and over the groups of a key.
 """
 
 from __future__ import annotations
@@ -14,11 +16,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 WIDTH = 65_536
 
-_B = "__bucket"
+SPAN = 1_024  # neighbouring buckets whose summaries are scanned together
+
+_B, _G = "__bucket", "__group"
 
 
 @dataclass(frozen=True)
@@ -67,6 +72,14 @@ def _carry(spec: Running, name: str, w) -> Column:
     return F.last(c, ignorenulls=True).over(w)
 
 
+def _fold(spec: Running, name: str) -> Column:
+    """The summary of a group of buckets."""
+    c = F.col(name)
+    if spec.kind == "last":
+        return F.max_by(c, F.when(c.isNotNull(), F.col(_B)))
+    return {"max": F.max, "min": F.min}.get(spec.kind, F.sum)(c)
+
+
 def _merge(spec: Running, carry: Column, local: Column) -> Column:
     if spec.kind in ("sum", "count"):
         zero = F.lit(0)
@@ -78,6 +91,25 @@ def _merge(spec: Running, carry: Column, local: Column) -> Column:
     return F.coalesce(local, carry)
 
 
+def _group(kind: T.DataType) -> Column:
+    """``SPAN`` neighbouring buckets; of a bucket of several columns the last one is cut."""
+    if not isinstance(kind, T.StructType):
+        return F.floor(F.col(_B) / F.lit(SPAN))
+    *outer, inner = [F.col(_B).getField(f.name) for f in kind.fields]
+    return F.struct(*[c.alias(f"c{i}") for i, c in enumerate(outer)], F.floor(inner / F.lit(SPAN)).alias("at"))
+
+
+def _carries(parts: DataFrame, keys: Sequence[str], specs: dict[str, Running]) -> DataFrame:
+    """Keys, bucket and ``__c_<name>``, what all earlier buckets of the key come to."""
+    grouped, at = parts.withColumn(_G, _group(parts.schema[_B].dataType)), [*keys, _G]
+    groups = grouped.groupBy(*at).agg(*[_fold(s, n).alias(n) for n, s in specs.items()])
+    before = Window.partitionBy(*keys).orderBy(_G).rowsBetween(Window.unboundedPreceding, -1)
+    entry = groups.select(*at, *[_carry(s, n, before).alias(f"__g_{n}") for n, s in specs.items()])
+    inside = Window.partitionBy(*at).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    merged = [_merge(s, F.col(f"__g_{n}"), _carry(s, n, inside)).alias(f"__c_{n}") for n, s in specs.items()]
+    return grouped.join(entry, at).select(*keys, _B, *merged)
+
+
 def bucket_of(order: str, width: int = WIDTH) -> Column:
     """Consecutive buckets of an integer order column."""
     return F.floor(F.col(order) / F.lit(width))
@@ -92,19 +124,17 @@ def running(
     width: int = WIDTH,
 ) -> DataFrame:
     """Add running values per key. ``order`` must be a total order inside a key, and
-    ``bucket`` must not decrease along it (default: the first order column cut in steps
+    ``bucket`` must not decrease along it and end in a number (default: the first order column cut in steps
     of ``width``). Keys must not be null."""
     if bucket is None:
         bucket = bucket_of(order[0], width)
     rows = df.withColumn(_B, bucket)
     at = [*keys, _B]
     parts = rows.groupBy(*at).agg(*[_summary(s, order).alias(n) for n, s in specs.items()])
-    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    carries = parts.select(*at, *[_carry(s, n, before).alias(f"__c_{n}") for n, s in specs.items()])
     ordered = Window.partitionBy(*at).orderBy(*order)
     upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
     prior = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    out = rows.join(carries, at)
+    out = rows.join(_carries(parts, keys, specs), at)
     keep = list(df.columns)
     return out.select(
         *keep,

@@ -173,3 +173,25 @@ def test_store_messages_fall_back(spark):
     meta = spark.createDataFrame([("s", None)], "session_id string, latest_root string")
     got = sorted((list(r.path), r.m) for r in CU.cursor_messages(blobs, meta).select("path", F.to_json("msg").alias("m")).collect())
     assert [p for p, _ in got] == [[0], [1]]
+
+
+def test_sparse_order_values(spark):
+    """Every row is a bucket of its own; groups of buckets and their order decide the carry."""
+    rnd = random.Random(5)
+    rows = [(k, at, rnd.choice([None, *range(-9, 9)])) for k in ("a", "b") for at in rnd.sample(range(-5_000_000, 5_000_000), 300)]
+    want = {}
+    for key in ("a", "b"):
+        total, n, high, last = 0, 0, None, None
+        for _, at, v in sorted(r for r in rows if r[0] == key):
+            before = last
+            total, n = total + (v or 0), n + 1
+            high = high if v is None else v if high is None else max(high, v)
+            last = last if v is None else v
+            want[(key, at)] = (total, n, high, last, before)
+    df = spark.createDataFrame(rows, "k string, at long, v long")
+    v = F.col("v")
+    specs = {"total": Running("sum", v), "n": Running("count"), "high": Running("max", v), "last": Running("last", v), "before": Running("last", v, inclusive=False)}
+    two = F.struct((F.col("at") >= 0).alias("late"), F.floor(F.col("at") / 7).alias("b"))
+    for more in ({"width": 10}, {"width": 1_000_000}, {"bucket": two}):
+        got = {(r.k, r.at): (r.total, r.n, r.high, r["last"], r.before) for r in running(df, ["k"], ["at"], specs, **more).collect()}
+        assert got == want
