@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,15 @@ def in_order(rows: Iterator[pd.DataFrame], by: str) -> pd.DataFrame:
     return whole.sort_values(by, kind="stable")
 
 
+def _outer(known: tuple | None, pdf: pd.DataFrame, pick) -> tuple | None:
+    """(event_id, ts_s, event, wo) of the first or last event of a chunk and ``known``."""
+    if pdf.empty:
+        return known
+    row = pdf.iloc[pick(pdf["event_id"].to_numpy())]
+    found = (int(row["event_id"]), int(row["ts_s"]), row["event"], row["wo"])
+    return found if known is None or pick([known[0], found[0]]) == 1 else known
+
+
 class Throttle(StatefulProcessor):
     """ST04, ST11: pass a row when more than ``gap_s`` went by since the last passed one."""
 
@@ -65,12 +75,15 @@ class Seen(StatefulProcessor):
         self.seen = handle.getValueState("seen", "yes boolean", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = in_order(rows, self.order)
-        if not self.seen.exists():
-            self.seen.update((True,))
-            yield pdf.head(1)
-        else:
+        known, first = self.seen.exists(), None
+        for pdf in rows:  # a chunk at a time: one row is kept, however many the key has
+            if not known:
+                least = pdf.sort_values(self.order, kind="stable").head(1)
+                first = least if first is None or least[self.order].iloc[0] < first[self.order].iloc[0] else first
             yield pdf.head(0)
+        if first is not None:
+            self.seen.update((True,))
+            yield first
 
     def close(self) -> None:
         pass
@@ -190,16 +203,16 @@ class Board(StatefulProcessor):
         self.entry = handle.getValueState("entry", "started long, last_update long, status string, working_on string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = in_order(rows, "event_id")
         entry = self.entry.get() if self.entry.exists() else None
-        for t, event, wo in zip(pdf["ts_s"], pdf["event"], pdf["wo"]):
-            t = int(t)
-            if event in ("session-start", "prompt"):
-                started = entry[0] if entry else t
-                doing = wo if event == "prompt" and isinstance(wo, str) else (entry[3] if entry else None)
-                entry = (started, t, "active", doing)
-            elif entry and event == "session-end":
-                entry = (entry[0], t, "ended", entry[3])
+        first = last = doing = None
+        for pdf in rows:  # three rows of a trigger decide, so chunks are folded as they come
+            enters = pdf["event"].isin(("session-start", "prompt"))
+            first = _outer(first, pdf[enters], np.argmin)
+            last = _outer(last, pdf[enters | (pdf["event"] == "session-end")], np.argmax)
+            doing = _outer(doing, pdf[(pdf["event"] == "prompt") & pdf["wo"].notna()], np.argmax)
+        if last and (entry or first):  # an end before the first entry registers nothing
+            status = "ended" if last[2] == "session-end" else "active"
+            entry = (entry[0] if entry else first[1], last[1], status, doing[3] if doing else entry[3] if entry else None)
         if entry:
             self.entry.update(tuple(entry))
             for timer in list(self.handle.listTimers()):
