@@ -107,14 +107,20 @@ def directive_tokens(directives: DataFrame, account: str | None = None) -> DataF
     return out if not account else out.filter(~F.array_contains(name_tokens(F.lit(account)), F.col("token")))
 
 
+def _spread(tokens: DataFrame) -> DataFrame:
+    """Tokens as a side of a join. They are many times the bytes of the directives they come
+    from, but Spark estimates them by the directives' file: it must not broadcast them."""
+    return tokens.hint("merge")
+
+
 def token_hits(calls: DataFrame, tokens: DataFrame) -> DataFrame:
     """Which tokens hit which haystacks, on distinct (repo, hay) and distinct (scope, token):
     candidates by equality on one key, then the exact test."""
     hays = calls.filter(F.col("hay") != "").select(F.coalesce("repo", F.lit("")).alias("repo"), "hay").distinct()
     keys = hays.select("repo", "hay", F.explode(hay_keys(F.col("hay"))).alias("key"))
     toks = tokens.select("scope", "token").distinct().withColumn("key", token_key(F.col("token")))
-    scoped = keys.withColumn("scope", F.col("repo")).filter("repo <> ''").join(toks.filter("scope <> ''"), ["scope", "key"])
-    free = keys.join(toks.filter("scope = ''"), "key")
+    scoped = keys.withColumn("scope", F.col("repo")).filter("repo <> ''").join(_spread(toks.filter("scope <> ''")), ["scope", "key"])
+    free = keys.join(_spread(toks.filter("scope = ''")), "key")
     cols = ["repo", "hay", "scope", "token"]
     found = scoped.select(*cols).unionByName(free.select(*cols))
     return found.filter(
@@ -129,7 +135,7 @@ def match_directives(calls: DataFrame, directives: DataFrame, account: str | Non
     Directives without triggers are kept for every call of their scope; they are not
     multiplied here, ``recall`` ranks them in."""
     tokens = directive_tokens(directives, account)
-    hit = token_hits(calls, tokens).join(tokens, ["scope", "token"])
+    hit = token_hits(calls, tokens).join(_spread(tokens), ["scope", "token"])
     order = F.struct((-F.length("token")).alias("l"), "trigger_pos", "token")
     best = F.min_by(F.struct("trigger", "token", F.length("token").alias("match_len"), "seen", "pos"), order)
     return hit.groupBy("repo", "hay", "id").agg(best.alias("b")).select("repo", "hay", "id", "b.*")
@@ -170,7 +176,7 @@ def recall(
         out_of = out_of.unionByName(firings.select("session_id", F.col("directive_id").alias("id")))
     out_of = out_of.distinct()
     excluded = (
-        out_of.join(tokens.select("id", "scope", "token").distinct(), "id")
+        out_of.join(_spread(tokens.select("id", "scope", "token").distinct()), "id")
         .groupBy("session_id", "scope", "token")
         .agg(F.count(F.lit(1)).alias("excluded"))
     )
