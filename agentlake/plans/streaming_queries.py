@@ -18,9 +18,10 @@ from agentlake.streaming import state as S
 
 
 def stream_table(v: Views, name: str) -> DataFrame:
-    """A driver table as a file stream."""
+    """A driver table as a file stream. The table is one file or a folder of files: a path that
+    is a pattern reads both, a plain one no file and a name filter no folder."""
     schema = v.table(name).schema
-    return v.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(v.sf_dir)
+    return v.spark.readStream.schema(schema).parquet(f"{v.sf_dir}/{name}.parque[t]")
 
 
 def stream_view(v: Views, name: str, table: str = "events") -> DataFrame:

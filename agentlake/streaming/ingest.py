@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from agentlake.operators.health import trusted_offset
 
 PARTS = 64  # partitions of a merge target
+STORED = "conversation_id string, uuid string, seq long, source string, batch long, part int"
 DELTA = "session_id string, byte_start long, byte_end long, complete boolean, file_size long, raw string"
 
 
@@ -36,7 +37,7 @@ def reset_on_shrink(lines: DataFrame, cursors: DataFrame) -> DataFrame:
 def _stored(spark: SparkSession, target: str) -> DataFrame | None:
     """What the target holds; None before the first write."""
     try:
-        return spark.read.schema("conversation_id string, uuid string, seq long, source string, batch long, part int").parquet(f"{target}/records")
+        return spark.read.schema(STORED).parquet(f"{target}/records")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -77,7 +78,9 @@ def import_merge(stream: DataFrame, target: str, checkpoint: str):
 
 def acks(spark: SparkSession, target: str) -> DataFrame:
     """ST02: per conversation the last stored uuid and how many rows are stored."""
-    rows = spark.read.parquet(f"{target}/records")
+    rows = _stored(spark, target)
+    if rows is None:  # nothing was ever sent
+        rows = spark.createDataFrame([], STORED)
     return rows.groupBy("conversation_id").agg(F.max_by("uuid", "seq").alias("ack_through"), F.count(F.lit(1)).alias("stored"))
 
 
