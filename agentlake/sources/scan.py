@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 FORMAT = "agent_transcripts"
-SPLIT, BLOCK = 64 << 20, 4 << 20
+SPLIT, BLOCK, STEP = 64 << 20, 4 << 20, 64 << 10
+TASKS = 64  # a read of small ranges has about this many tasks, until they hold SPLIT bytes
 SCHEMA = "path string, file_size long, modified timestamp, split int, line_in_split long, byte_start long, byte_end long, complete boolean, raw binary"
 FIELDS = [("path", pa.string()), ("file_size", pa.int64()), ("modified", pa.timestamp("us", "UTC")), ("split", pa.int32()), ("line_in_split", pa.int64()), ("byte_start", pa.int64()), ("byte_end", pa.int64()), ("complete", pa.bool_()), ("raw", pa.large_binary())]
 #: Schemes that can be read outside the JVM; other stores go through Spark's own text scan.
@@ -85,6 +86,26 @@ def ranges(files: list[File], split: int, begin: dict[str, int] | None = None) -
     return out
 
 
+@dataclass
+class Ranges(InputPartition):
+    """Ranges that one task reads one after another."""
+
+    ranges: list[Range]
+
+
+def grouped(all_ranges: list[Range]) -> list[Ranges]:
+    """Small files and short ranges share tasks, so their number does not grow with the bytes."""
+    most = min(SPLIT, sum(r.end - r.start for r in all_ranges) // TASKS)
+    out, held = [], most
+    for r in all_ranges:
+        if held >= most:
+            out.append(Ranges([]))
+            held = 0
+        out[-1].ranges.append(r)
+        held += r.end - r.start
+    return out
+
+
 def read_range(r: Range, root: str, block: int = BLOCK) -> Iterator[pa.RecordBatch]:
     """Batches of the range's lines. At most one block and one line are in memory."""
     store, _, _ = _store(root)
@@ -93,7 +114,9 @@ def read_range(r: Range, root: str, block: int = BLOCK) -> Iterator[pa.RecordBat
         f.seek(at)
         skip, rest, lines = not r.aligned, [], 0
         while True:
-            chunk = f.read(min(block, max(0, r.size - at - sum(map(len, rest)))))
+            read = at + sum(map(len, rest))
+            # no further than the range, then in growing steps to the end of its last line
+            chunk = f.read(min(block, max(r.end - read, STEP << min(len(rest), 6)), max(0, r.size - read)))
             if skip:
                 cut = chunk.find(b"\n")
                 if chunk and cut < 0:
@@ -164,10 +187,11 @@ class _Reader(DataSourceReader):
         files = list_files(self.root, self.pattern, self.depth)
         if self.files != "all":
             files = [f for f in files if (f.size > self.split) == (self.files == "cut")]
-        return ranges(files, self.split) or [Range("", "", 0, 0, 0, 0, 0, True)]
+        return grouped(ranges(files, self.split)) or [Ranges([])]
 
     def read(self, partition):
-        return read_range(partition, self.root) if partition.path else iter(())
+        for r in partition.ranges:
+            yield from read_range(r, self.root)
 
 
 class _Stream(DataSourceStreamReader):
@@ -222,10 +246,10 @@ class _Stream(DataSourceStreamReader):
             if name in files and stop > begin:
                 f = files[name]
                 out += ranges([File(f.path, f.name, stop, f.modified)], self.batch.split, {name: begin})
-        return out
+        return grouped(out)
 
     def read(self, partition):
-        return read_range(partition, self.batch.root)
+        return self.batch.read(partition)
 
     def commit(self, end: dict) -> None:
         self.offset = json.loads(json.dumps(end))
