@@ -102,20 +102,22 @@ class SeenCapped(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = in_order(rows, self.order)
         place = self.next.get()[0] if self.next.exists() else 0
-        keep, ages = [], None
+        # the few items of a session are read and written once, not asked for row by row
+        before = {k[0]: p[0] for k, p in self.seen.iterator()}
+        seen, keep = dict(sorted(before.items(), key=lambda e: e[1])), []  # oldest first
         for x in pdf[self.item].astype(str):
-            new = not self.seen.containsKey((x,))
+            new = x not in seen
             keep.append(new)
             if new:
-                self.seen.updateValue((x,), (place,))
+                seen[x] = place
                 place += 1
-                if place > self.cap:
-                    if ages is None:
-                        ages = sorted((p[0], k[0]) for k, p in self.seen.iterator())
-                    else:
-                        ages.append((place - 1, x))
-                    while len(ages) > self.cap:
-                        self.seen.removeKey((ages.pop(0)[1],))
+                while place > self.cap and len(seen) > self.cap:
+                    del seen[next(iter(seen))]
+        for x in before.keys() - seen.keys():
+            self.seen.removeKey((x,))
+        for x, p in seen.items():
+            if before.get(x) != p:
+                self.seen.updateValue((x,), (p,))
         self.next.update((place,))
         yield pdf[keep]
 
