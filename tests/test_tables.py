@@ -1,12 +1,15 @@
 """Tables as they lie on disk: as one file or as a folder, and far larger once expanded."""
 
 import random
+import re
 import shutil
 from types import SimpleNamespace
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from agentlake.functions.ids import safe_id
 from agentlake.operators import directives as D
 from agentlake.plans import load_all
 from agentlake.plans.registry import as_entry
@@ -115,3 +118,14 @@ def test_a_capped_session_touches_its_state_once_a_trigger():
         got = pd.concat(list(machine.handleInputRows(("s",), iter([pdf]), None)))
         assert got["event_id"].tolist() == want and len(calls) <= 7
         assert sorted(items, key=items.get) == known
+
+
+def test_safe_id_cuts_before_it_flattens(spark, capsys):
+    texts = ["", "a b/c", "é😀x" * 60, "ok-._" * 30, " \t\n" * 50, None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", *[safe_id(F.col("t"), m).alias(m) for m in ("state", "debounce", "fired")])
+    for r in df.collect():
+        flat = None if r.t is None else re.sub(r"[^A-Za-z0-9._-]", "_", r.t)
+        assert (r.state, r.debounce) == ((None, None) if flat is None else (flat[:80], flat[:64]))
+        assert r.fired == (None if r.t is None else re.sub(r"[^A-Za-z0-9_-]", "", r.t))
+    df.select("state").explain()
+    assert re.search(r"regexp_replace\((left|substr\w*)\(t", capsys.readouterr().out)
