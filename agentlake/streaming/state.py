@@ -12,6 +12,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -66,7 +68,8 @@ class Throttle(StatefulProcessor):
 
 
 class Seen(StatefulProcessor):
-    """ST06 with the item in the key: only the first row of a key passes, for the TTL."""
+    """ST06 with the item in the key: only the first row of a key passes, for the TTL. This is
+    the rule for one key; ``once_per_session`` applies it to whole tasks."""
 
     def __init__(self, ttl_ms: int, order: str):
         self.ttl_ms, self.order = ttl_ms, order
@@ -89,6 +92,30 @@ class Seen(StatefulProcessor):
         pass
 
 
+def _least(keys: list[str], order: str, chunk: int = 65_536):
+    """The least row of each key among a task's rows, nulls last; a task holds a row a key and
+    at most as many more before it cuts them down again."""
+
+    def cut(held: list[pa.Table]) -> pa.Table:
+        rows = pa.concat_tables(held)
+        rows = rows.take(pc.sort_indices(rows, sort_keys=[(order, "ascending")]))
+        place = rows.select(keys).append_column("__place", pa.array(np.arange(rows.num_rows)))
+        return rows.take(place.group_by(keys, use_threads=False).aggregate([("__place", "min")])["__place_min"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, kept = [], 0, 0
+        for b in batches:
+            held.append(pa.Table.from_batches([b]))
+            n += b.num_rows
+            if n > max(chunk, 2 * kept):
+                held = [cut(held)]
+                n = kept = held[0].num_rows
+        if held:
+            yield from cut(held).to_batches(max_chunksize=10_000)
+
+    return run
+
+
 class SeenCapped(StatefulProcessor):
     """ST06 with a session key: a set of at most ``cap`` items, the oldest dropped first."""
 
@@ -280,10 +307,19 @@ def throttle(stream: DataFrame, gap_s: int = 6 * 3600, key: str = "brain_id") ->
 
 def once_per_session(stream: DataFrame, item: str, cap: int | None = None, ttl_ms: int = WEEK_MS, order: str = "event_id") -> DataFrame:
     """ST06: each (session, item) passes once in seven days. With ``cap`` a session remembers
-    only its last ``cap`` items, which needs the session as the key."""
+    only its last ``cap`` items, which needs the session as the key.
+
+    Without it there are as many keys as items, so none of them may cost a call to Python: a
+    task picks the least row of each of its keys, and Spark's own deduplication remembers keys
+    by the time they came. It forgets a key when that time lies two delays back, here the TTL,
+    by the clock of the trigger before: never earlier, and after a silence of the whole stream
+    one trigger later."""
     use_rocksdb(stream.sparkSession)
     if cap is None:
-        return stream.groupBy("session_id", item).transformWithStateInPandas(Seen(ttl_ms, order), _same(stream), "append", "processingTime")
+        keys = list(dict.fromkeys(["session_id", item]))
+        least = stream.repartition(*keys).mapInArrow(_least(keys, order), _same(stream))
+        came = least.withColumn("__came", F.current_timestamp()).withWatermark("__came", f"{(ttl_ms + 1) // 2} milliseconds")
+        return came.dropDuplicatesWithinWatermark(keys).drop("__came")
     return stream.groupBy("session_id").transformWithStateInPandas(
         SeenCapped(item, cap, ttl_ms, order), _same(stream), "append", "processingTime"
     )
