@@ -174,9 +174,18 @@ def recall(
     out_of = directives.filter(F.col("source_session_id").isNotNull()).select(F.col("source_session_id").alias("session_id"), "id")
     if firings is not None:
         out_of = out_of.unionByName(firings.select("session_id", F.col("directive_id").alias("id")))
-    out_of = out_of.distinct()
+    # the calls are read four times below; keeping the four narrow columns costs less than
+    # classifying every event again
+    own = materialize(
+        calls.select("call_id", "session_id", F.coalesce("repo", F.lit("")).alias("repo"), "hay"), "calls"
+    )
+
+    # a session asks in the scopes of its calls alone: what it excludes in others changes nothing
+    scopes = own.select("session_id", F.explode(F.array("repo", F.lit(""))).alias("scope")).distinct()
+    out_of = out_of.distinct().join(_spread(base.select("id", "scope").distinct()), "id").join(scopes, ["session_id", "scope"], "left_semi")
+    out_of = materialize(out_of.select("session_id", "id", "scope"), "excluded")
     excluded = (
-        out_of.join(_spread(tokens.select("id", "scope", "token").distinct()), "id")
+        out_of.join(_spread(tokens.select("id", "scope", "token").distinct()), ["id", "scope"])
         .groupBy("session_id", "scope", "token")
         .agg(F.count(F.lit(1)).alias("excluded"))
     )
@@ -190,17 +199,11 @@ def recall(
     places = excluded.withColumn("place", F.explode(F.expr(f"sequence({k} + 1, cast({k} + excluded AS int))"))).drop("excluded")
     deeper = places.join(ranked, ["scope", "token", "place"]).drop("place")
 
-    # the calls are read three times below; keeping the four narrow columns costs less than
-    # classifying every event again
-    own = materialize(
-        calls.select("call_id", "session_id", F.coalesce("repo", F.lit("")).alias("repo"), "hay"), "calls"
-    )
-
     def open_to(asked: DataFrame) -> DataFrame:
         """The directives of each asked (session, scope, token) that can still reach a top k."""
         near = asked.join(top, ["scope", "token"])
         far = asked.join(deeper, ["session_id", "scope", "token"])
-        return near.unionByName(far).join(out_of, ["session_id", "id"], "left_anti")
+        return near.unionByName(far).join(out_of, ["session_id", "id", "scope"], "left_anti")
 
     fields = ["call_id", "session_id", "id", "token", "t", "seen", "pos"]
     hits = token_hits(own, real)
