@@ -24,6 +24,8 @@ from agentlake.llm.native import own_columns
 
 #: Words in a window; one begins at every word that has so many from it on. Windows scored at once.
 LENGTH, SLIDE = 32, 4096
+#: Windows side by side in a step's slice; how far ``slide`` may be from ``score``, by far.
+LANES, CLOSE = 16, 1e-5
 #: Bound of the training sample (rows of each class), of the learned vocabulary, sizes of the network.
 SAMPLE, VOCABULARY, WORD_DIM, CHAR_DIM, BUCKETS, HIDDEN = (900, 2200), 12_000, 8, 8, 512, 8
 EPOCHS, BATCH, MEMO, SEED = 8, 96, 300_000, 7
@@ -131,26 +133,62 @@ class Network:
 
     def slide(self, terms: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Probabilities of the windows at every place of ``words`` (rows of ``terms``, ``LENGTH`` at
-        least), as ``forward`` has them; features are rows here, so each step reads a slice."""
+        least), within ``CLOSE`` of ``score``. Features are rows; column 16 k + l of them is place
+        l n / 16 + k, so a step reads a slice that is as aligned as the arrays it is added to."""
         p, h, n = self.p, HIDDEN, len(words) - LENGTH + 1
-        # The exponential costs half of tanh: 1 - z, r and (1 - new) / 2 are all 1 / (1 + exp(y)) of
-        # y = the update gate's input, minus the reset gate's, twice the candidate's.
+        runs = -(-n // LANES)
+        size, at = runs * LANES, np.arange(runs + LENGTH - 1)[:, None] + np.arange(LANES) * runs
+        x = np.ascontiguousarray(terms[words[np.minimum(at, len(words) - 1).ravel()]].T).reshape(2, 3 * h, -1)
+        # Gates are (1 + tanh(y)) / 2 of half their input y; one less the update gate that of -y.
+        x[:, :h] *= -0.5
+        x[:, h : 2 * h] *= 0.5
+        half = np.repeat(np.array([-0.5, 0.5, 0.5], x.dtype), h)[:, None]
+        states, hu = np.empty((LENGTH, 2 * h, size), x.dtype), np.empty((3 * h, size), x.dtype)
+        gates, new = hu[: 2 * h], hu[2 * h :]
+        for k, d in enumerate("fb"):
+            u, state = np.ascontiguousarray(p[f"U{d}"].T) * half, np.zeros((h, size), x.dtype)
+            for t in range(LENGTH) if d == "f" else range(LENGTH - 1, -1, -1):
+                step, nxt = x[k, :, LANES * t : LANES * t + size], states[t, k * h : (k + 1) * h]
+                np.matmul(u, state, out=hu)
+                gates += step[: 2 * h]
+                np.tanh(gates, out=gates)
+                gates += 1
+                new *= gates[h:]
+                new += step[2 * h :]
+                np.tanh(new, out=new)
+                new -= state
+                new *= gates[:h]
+                new *= 0.5
+                state = np.add(state, new, out=nxt)
+        score, value, e = np.empty((LENGTH, size), x.dtype), np.empty((LENGTH, size), x.dtype), np.empty((h + 1, size), x.dtype)
+        a, bias = np.concatenate([p["A"].T, p["w"][None]]), p["a"][:, None]
+        for t in range(LENGTH):
+            np.matmul(a, states[t], out=e)
+            value[t] = e[h]
+            e[:h] += bias
+            np.matmul(p["u"], np.tanh(e[:h], out=e[:h]), out=score[t])
+        score -= score.max(axis=0)
+        np.exp(score, out=score)
+        value *= score
+        return _sigmoid(value.sum(axis=0) / score.sum(axis=0) + p["c"]).reshape(runs, LANES).T.ravel()[:n]
+
+    def score(self, terms: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Probabilities of whole windows, rows of ``at`` hold rows of ``terms``, as ``forward`` has them."""
+        p, h, n = self.p, HIDDEN, len(at)
+        # 1 - z, r and (1 - new) / 2 are all 1 / (1 + exp(y)) of y = the update gate's input, minus
+        # the reset gate's, twice the candidate's.
         scale = np.repeat(np.array([1, -1, 2], terms.dtype), h)[:, None]
-        g = np.ascontiguousarray(terms[words].T)
+        g = np.ascontiguousarray(terms[at.T].transpose(0, 2, 1))
         states, score, value = np.empty((LENGTH, h, n), g.dtype), np.empty((LENGTH, n), g.dtype), np.empty((LENGTH, n), g.dtype)
-        hu, gates, new = np.empty((3 * h, n), g.dtype), np.empty((2 * h, n), g.dtype), np.empty((h, n), g.dtype)
         a, bias, u_e = np.ascontiguousarray(2 * p["A"].T), 2 * p["a"][:, None], p["u"]
         with np.errstate(over="ignore"):  # exp(y) may become infinite, its inverse is 0 then
-            for d, x in (("f", g[: 3 * h]), ("b", g[3 * h :])):
+            for d, x in (("f", g[:, : 3 * h]), ("b", g[:, 3 * h :])):
                 u, state = np.ascontiguousarray(p[f"U{d}"].T) * scale, np.zeros((h, n), g.dtype)
                 x *= scale
                 for t in range(LENGTH) if d == "f" else range(LENGTH - 1, -1, -1):
-                    np.matmul(u, state, out=hu)
-                    np.add(hu[: 2 * h], x[: 2 * h, t : t + n], out=gates)
-                    _inverse(gates)
-                    np.multiply(gates[h:], hu[2 * h :], out=new)
-                    new += x[2 * h :, t : t + n]
-                    _inverse(new)
+                    hu = u @ state
+                    gates = _inverse(hu[: 2 * h] + x[t, : 2 * h])
+                    new = _inverse(gates[h:] * hu[2 * h :] + x[t, 2 * h :])
                     new *= -2
                     new += 1
                     new -= state
@@ -224,12 +262,20 @@ def _highest(net: Network, terms: np.ndarray, at: list[np.ndarray]) -> tuple[np.
         some = short[k : k + 4096]
         out[some] = net.forward(terms, np.stack([_window(at[i], 0) for i in some]))
     if long:
-        line, first = np.concatenate([at[i] for i in long]), 0  # windows across two texts are passed over below
+        line, first, near = np.concatenate([at[i] for i in long]), 0, []  # windows across two texts are passed over below
         p = np.concatenate([net.slide(terms, line[k : k + SLIDE + LENGTH - 1]) for k in range(0, len(line) - LENGTH + 1, SLIDE)])
         for i in long:
             own = p[first : first + len(at[i]) - LENGTH + 1]
-            begin[i] = own.argmax()
-            out[i], first = own[begin[i]], first + len(at[i])
+            near.append(first + np.flatnonzero(own >= own.max() - CLOSE))
+            first += len(at[i])
+        places = np.concatenate(near)
+        p = np.concatenate([net.score(terms, line[places[k : k + 1024, None] + np.arange(LENGTH)]) for k in range(0, len(places), 1024)])
+        first = used = 0
+        for i, some in zip(long, near, strict=True):
+            own = p[used : used + len(some)]
+            best = own.argmax()
+            out[i], begin[i] = own[best], some[best] - first
+            first, used = first + len(at[i]), used + len(some)
     return out, begin
 
 
@@ -291,27 +337,33 @@ class Scorer:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.used, self.terms = 0, np.zeros((4097, 6 * HIDDEN), np.float32)  # the last row is for padding
+        self.forms: dict[str, int] = {}  # by the plain word, which several words share
+        self.terms = np.zeros((4097, 6 * HIDDEN), np.float32)  # the last row is for padding
 
     def numbers(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Rows of ``terms`` for the words of each text."""
-        found = [list(map(self.known.get, t)) for t in texts]
-        missing = {w for t, f in zip(texts, found, strict=True) if None in f for w, i in zip(t, f, strict=True) if i is None}
+        coded = pa.array([w for t in texts for w in t], pa.large_string()).dictionary_encode()
+        rows = self._rows(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        return np.split(rows, np.cumsum([len(t) for t in texts])[:-1])
+
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """Rows of ``terms`` for distinct words."""
+        missing = [w for w in words if w not in self.known]
         if len(self.known) + len(missing) > MEMO and self.known:
             self._forget()
-            return self.numbers(texts)
-        if missing:
-            forms: dict[str, int] = {}
-            self.known.update((w, self.used + forms.setdefault(plain(w), len(forms))) for w in missing)
-            end = self.used + len(forms)
-            if end >= len(self.terms):
-                wider = np.zeros((end + end // 2 + 1, self.terms.shape[1]), self.terms.dtype)
-                wider[: self.used] = self.terms[: self.used]
-                self.terms = wider
-            self.terms[self.used : end] = self.model.project(self.model.features(list(forms))[0])[:-1]
-            self.used = end
-            found = [list(map(self.known.__getitem__, t)) if None in f else f for t, f in zip(texts, found, strict=True)]
-        return [np.array(f, dtype=np.int64) for f in found]
+            missing = words
+        forms, used = list(map(plain, missing)), len(self.forms)
+        new = list(dict.fromkeys(f for f in forms if f not in self.forms))
+        end = used + len(new)
+        if end >= len(self.terms):
+            wider = np.zeros((end + end // 2 + 1, self.terms.shape[1]), self.terms.dtype)
+            wider[:used] = self.terms[:used]
+            self.terms = wider
+        if new:
+            self.terms[used:end] = self.model.project(self.model.features(new)[0])[:-1]
+        self.forms.update(zip(new, range(used, end), strict=True))
+        self.known.update(zip(missing, map(self.forms.__getitem__, forms), strict=True))
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def scores(self, texts: list[str | None], at_once: int = 200_000) -> np.ndarray:
         if isinstance(self.model, float):

@@ -52,6 +52,36 @@ def test_every_window_is_scored():
         assert abs(want[begin] - want.max()) < 1e-5, len(w)
 
 
+def test_the_sliding_pass_only_chooses(monkeypatch):
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(40)]
+    net = tox.Network({w: i + 1 for i, w in enumerate(words)}, rng.standard_normal(40))
+    texts = [" ".join(rng.choice(words, n)) for n in (33, 40, 4200, 9000)] + ["w1 w2 " * 300]
+    want, passed = tox.Scorer(net).scores(texts), tox.Network.slide
+
+    def rough(self, terms, at):
+        p = passed(self, terms, at)
+        rows = at[np.arange(len(p))[:, None] + np.arange(tox.LENGTH)]
+        assert np.abs(p - self.score(terms, rows)).max() < tox.CLOSE / 4
+        return p + (rng.random(len(p)) - 0.5).astype(p.dtype) * np.float32(tox.CLOSE / 2)
+
+    monkeypatch.setattr(tox.Network, "slide", rough)
+    assert (tox.Scorer(net).scores(texts) == want).all()
+
+
+def test_a_small_memory_of_words_changes_no_score(monkeypatch):
+    rng = np.random.default_rng(5)
+    words = [f"{a}{i}{b}" for i in range(60) for a, b in (("w", ""), ("W", ""), ("", ","), ('"w', '"'))]
+    net = tox.Network({f"w{i}": i + 1 for i in range(60)}, rng.standard_normal(60))
+    texts = [" ".join(rng.choice(words, n)) for n in (5, 50, 300, 80, 2)]
+    want = tox.Scorer(net).scores(texts)
+    monkeypatch.setattr(tox, "MEMO", 100)
+    small = tox.Scorer(net)
+    got = np.concatenate([small.scores([t], at_once=1) for t in texts])
+    assert np.abs(got - want).max() < 1e-6
+    assert len(tox.Scorer(net).numbers([["w1", "W1", "w1,", '"w1"']])) == 1 and len(set(tox.Scorer(net).numbers([["w1", "W1,", '"w1"']])[0])) == 1
+
+
 def test_trigrams_of_words_do_not_cross():
     words = ["", "a", "abc", "déjà", "toolong"]
     flat, counts = tox.trigrams(words)
