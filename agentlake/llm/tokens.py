@@ -69,25 +69,32 @@ class PieceMemo:
         """The values of the pieces of ``text`` in order."""
         words = text.split(" ")
         head, rest = words[0], words[1:]
+        if rest and not (head and is_visible(head[-1])):
+            return self._slow(text)
         out = list(map(self.known.get, rest))
-        if None in out or (rest and not (head and is_visible(head[-1]))):
-            for w in {w for w, v in zip(rest, out, strict=True) if v is None}:
-                if not (w and is_visible(w[0]) and is_visible(w[-1])):
-                    return self._slow(text)
-            if rest and not (head and is_visible(head[-1])):
+        if None in out:
+            holes = [i for i, v in enumerate(out) if v is None]
+            missing = list({rest[i] for i in holes})
+            if not all(w and is_visible(w[0]) and is_visible(w[-1]) for w in missing):
                 return self._slow(text)
-            out = self._fill(self.known, rest, " ")
+            made = self._learn(self.known, missing, " ")
+            for i in holes:
+                out[i] = made[rest[i]]
         return self._fill(self.first, [head], "") + out
 
-    def _fill(self, memo: dict, words: list[str], blank: str) -> list:
-        missing = list({w for w in words if w not in memo})
-        made = dict(zip(missing, self.encode([blank + w for w in missing]), strict=True)) if missing else {}
+    def _learn(self, memo: dict, missing: list[str], blank: str) -> dict:
+        made = dict(zip(missing, self.encode([blank + w for w in missing]), strict=True))
         if len(memo) + len(made) > self.limit:
             memo.clear()
-            again = list({w for w in words if w not in made})
-            made.update(zip(again, self.encode([blank + w for w in again]), strict=True))
         memo.update((w, v) for w, v in made.items() if len(w) <= self.longest)
-        return [made[w] if w in made else memo[w] for w in words]
+        return made
+
+    def _fill(self, memo: dict, words: list[str], blank: str) -> list:
+        out = list(map(memo.get, words))
+        if None in out:
+            made = self._learn(memo, list({w for w, v in zip(words, out, strict=True) if v is None}), blank)
+            out = [made[w] if v is None else v for w, v in zip(words, out, strict=True)]
+        return out
 
     def _slow(self, text: str) -> list:
         """Texts with runs of white space or odd characters next to a blank."""

@@ -6,9 +6,9 @@ import random
 import numpy as np
 import pytest
 
-from agentlake.llm.bpe_codec import encode_decode, encode_long
+from agentlake.llm.bpe_codec import _together, encode_decode, encode_long
 from agentlake.llm.token_counts import token_counts
-from agentlake.llm.tokens import PieceMemo, load_tokenizer, pieces
+from agentlake.llm.tokens import PieceMemo, is_visible, load_tokenizer, pieces
 
 rng = random.Random(5)
 ALPHABET = ["a", "bc", "THE", " ", "  ", "\n", "\t", ".", "'s", "'re", "'", "é", "é", "́", " ", "\u0085", "\x1c", "日本", "Σ", "ς", "7", "½", "٣", "<|endoftext|>", "<|startoftext|>", "<|", "😀", "‍", "ﬁ", "İ", "　", "$$$"]
@@ -31,6 +31,18 @@ def test_pieces_encode_like_the_whole(name):
         assert sum(memo.values(t), []) == tk.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_pieces_encoded_as_one_text():
+    tk = load_tokenizer("word_bpe_49k.json")
+    odd = [p for t in [t for t in TEXTS if t] for p in list(pieces(t))[1:] if is_visible(p[-1])]
+    odd += [" it's", " don'T,", " İx", " ﬁn", " 日本", " a<|endoftext|>b", " a\n\tb", " e\u0301\u0323e", " 7½", " x\u200dy"]
+    for k in (1, 7, len(odd)):
+        for i in range(0, len(odd), k):
+            for p, (ids, text) in zip(odd[i : i + k], _together(tk, odd[i : i + k]), strict=True):
+                want = tk.encode(p, add_special_tokens=False).ids
+                assert np.frombuffer(ids, "<u4").tolist() == want, repr(p)
+                assert text == tk.decode(want, skip_special_tokens=False), repr(p)
+
+
 def test_tree_concatenation_is_exact():
     tk = load_tokenizer("word_bpe_49k.json")
     for t in HUGE + [some_text(400).replace(" ", "") for _ in range(60)]:
