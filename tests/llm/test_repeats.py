@@ -6,9 +6,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from agentlake.llm.packed import pack_keys, unpack_keys
+from agentlake.llm import suffix_dedup as sd
+from agentlake.llm.packed import Unit, pack_keys, unpack_keys
 from agentlake.llm.substring_dedup import substring_dedup
 from agentlake.llm.suffix_dedup import difference_cover, suffix_dedup
 
@@ -81,6 +83,25 @@ def test_packing():
     assert len(unpack_keys(pack_keys(keys[:0], [keys[:0]]), 0, 1)[0]) == 0
 
 
+def test_only_slices_near_shared_samples_are_hashed(monkeypatch):
+    monkeypatch.setattr(sd, "SLICE", 256)
+    texts = ["", "ab" * 700, None, "c" * 59, "", "d" * 60, "e" * 2000, ""]
+    unit, search = Unit(pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts})), sd.Repeats(60, 5)
+    i, names = search.samples(unit)
+    want = [b + x for b, e in zip(unit.begin, unit.end, strict=True) for x in range(e - b - search.depth + 1) if search.cover[x % search.v]]
+    assert i.tolist() == want and len(names) == len(want)
+    got = search.suffixes(unit, np.ones(len(np.unique(names)), bool))[0]
+    assert got.tolist() == [b + x for b, e in zip(unit.begin, unit.end, strict=True) for x in range(e - b - 59)]
+    hashed, known = [], set(names[i < 1400].tolist())
+    monkeypatch.setattr(sd, "prefix_sums", lambda v, f=sd.prefix_sums: hashed.append(len(v)) or f(v))
+    search.samples(unit)
+    alone = len(hashed)
+    assert search.suffixes(unit, np.zeros(len(np.unique(names)), bool))[0].tolist() == []
+    assert len(hashed) == 2 * alone  # the samples again, no suffix
+    some = search.suffixes(unit, np.array([n in known for n in np.unique(names).tolist()]))[0]
+    assert some.tolist() == list(range(1341))
+
+
 @pytest.mark.parametrize(("n", "q", "size"), [(400, 17, 3000), (400, 17, 10**6), (60, 5, 2000)])
 def test_suffix_dedup(spark, n, q, size):
     got = suffix_dedup(frame(spark, DOCS), n, q, size).na.fill(-1).collect()
