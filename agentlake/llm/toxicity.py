@@ -10,12 +10,15 @@ bounded sample in the driver, scoring in Arrow batches on the executors.
 
 from __future__ import annotations
 
+import math
 import string
+import threading
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,11 +27,13 @@ from agentlake.llm.native import own_columns
 
 #: Words in a window; one begins at every word that has so many from it on. Windows scored at once.
 LENGTH, SLIDE = 32, 4096
-#: Windows side by side in a step's slice; how far ``slide`` may be from ``score``, by far.
-LANES, CLOSE = 16, 1e-5
+#: Windows side by side in a step's slice; how far log odds of ``slide`` may be from ``score``, by far.
+LANES, CLOSE = 16, 1e-3
 #: Bound of the training sample (rows of each class), of the learned vocabulary, sizes of the network.
 SAMPLE, VOCABULARY, WORD_DIM, CHAR_DIM, BUCKETS, HIDDEN = (900, 2200), 12_000, 8, 8, 512, 8
-EPOCHS, BATCH, MEMO, SEED = 8, 96, 300_000, 7
+EPOCHS, BATCH, SEED = 8, 96, 7
+#: Words that are numbered and scored together; their distinct plain forms have terms meanwhile.
+MEMO = 300_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -42,14 +47,17 @@ def plain(word: str) -> str:
 def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the byte trigrams of ``<<word>`` for all words, and the number of each."""
     raw = [f"<<{w}>".encode("utf-8", "surrogatepass") for w in words]
-    sizes = np.array([len(r) for r in raw], dtype=np.int64)
-    b = np.frombuffer(b"".join(raw) + b"\0\0", dtype=np.uint8).astype(np.int64)
-    hashed = (b[:-2] * 7919 + b[1:-1] * 104_729 + b[2:] * 1_299_709) % 65_521 % BUCKETS
+    return _grams(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([len(r) for r in raw], dtype=np.int64))
+
+
+def _grams(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for the bytes of words with their marks, the words' ends given."""
+    b = np.concatenate([raw, np.zeros(2, np.uint8)]).astype(np.uint32)
+    hashed = ((b[:-2] * 7919 + b[1:-1] * 104_729 + b[2:] * 1_299_709) % 65_521 % BUCKETS).astype(np.int64)
     keep = np.ones(len(hashed), dtype=bool)
-    ends = np.cumsum(sizes)
     for back in (1, 2):  # the last two places of each word begin no trigram of their own
         keep[ends - back] = False
-    return hashed[keep], sizes - 2
+    return hashed[keep], np.diff(ends, prepend=0) - 2
 
 
 def window_index(n: int) -> np.ndarray:
@@ -69,6 +77,19 @@ def _inverse(y: np.ndarray) -> np.ndarray:
     return np.reciprocal(y, out=y)
 
 
+_rooms = threading.local()
+
+
+def _room(name: str, shape: tuple[int, ...], dtype: np.dtype) -> np.ndarray:
+    """An array in memory that the thread's next call by this name uses again, aligned to cache
+    lines: to get fresh pages from the system for every slice costs more than the work on them."""
+    kept, size = _rooms.__dict__.setdefault("kept", {}), math.prod(shape) * dtype.itemsize
+    if name not in kept or len(kept[name]) < size:
+        raw = np.empty(size + 64, np.uint8)
+        kept[name] = raw[-raw.ctypes.data % 64 :]
+    return kept[name][:size].view(dtype).reshape(shape)
+
+
 class Network:
     """Parameters, forward pass, gradients."""
 
@@ -87,11 +108,15 @@ class Network:
 
     def features(self, words: list[str]) -> tuple[np.ndarray, list[int], tuple[np.ndarray, np.ndarray]]:
         """Input vectors of distinct words, with the rows they are made of."""
-        rows, (grams, sizes) = [self.vocabulary.get(w, 0) for w in words], trigrams(words)
-        chars = np.zeros((len(words), CHAR_DIM), self.p["char"].dtype)
-        if words:
+        rows, grams = [self.vocabulary.get(w, 0) for w in words], trigrams(words)
+        return self.inputs(rows, *grams), rows, grams
+
+    def inputs(self, rows: list[int] | np.ndarray, grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Input vectors of words by their rows in the vocabulary and their trigrams."""
+        chars = np.zeros((len(rows), CHAR_DIM), self.p["char"].dtype)
+        if len(rows):
             chars = np.add.reduceat(self.p["char"][grams], np.cumsum(sizes) - sizes) / sizes[:, None]
-        return np.concatenate([self.p["word"][rows], chars], axis=1).astype(self.p["char"].dtype), rows, (grams, sizes)
+        return np.concatenate([self.p["word"][rows], chars], axis=1).astype(self.p["char"].dtype)
 
     def project(self, x: np.ndarray) -> np.ndarray:
         """Both directions' input terms of word vectors; a row of zeros at the end for padding."""
@@ -132,19 +157,23 @@ class Network:
         return out
 
     def slide(self, terms: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """Probabilities of the windows at every place of ``words`` (rows of ``terms``, ``LENGTH`` at
+        """Log odds of the windows at every place of ``words`` (rows of ``terms``, ``LENGTH`` at
         least), within ``CLOSE`` of ``score``. Features are rows; column 16 k + l of them is place
         l n / 16 + k, so a step reads a slice that is as aligned as the arrays it is added to."""
         p, h, n = self.p, HIDDEN, len(words) - LENGTH + 1
         runs = -(-n // LANES)
         size, at = runs * LANES, np.arange(runs + LENGTH - 1)[:, None] + np.arange(LANES) * runs
-        x = np.ascontiguousarray(terms[words[np.minimum(at, len(words) - 1).ravel()]].T).reshape(2, 3 * h, -1)
+        rows = words[np.minimum(at, len(words) - 1).ravel()]
+        flat, x = _room("flat", (len(rows), terms.shape[1]), terms.dtype), _room("x", (2, 3 * h, len(rows)), terms.dtype)
+        np.copyto(x.reshape(6 * h, -1), np.take(terms, rows, axis=0, out=flat, mode="clip").T)
         # Gates are (1 + tanh(y)) / 2 of half their input y; one less the update gate that of -y.
         x[:, :h] *= -0.5
         x[:, h : 2 * h] *= 0.5
         half = np.repeat(np.array([-0.5, 0.5, 0.5], x.dtype), h)[:, None]
-        states, hu = np.empty((LENGTH, 2 * h, size), x.dtype), np.empty((3 * h, size), x.dtype)
+        states, hu, e = (_room(k, shape, x.dtype) for k, shape in (("states", (LENGTH, 2 * h, size)), ("hu", (3 * h, size)), ("e", (h + 1, size))))
         gates, new = hu[: 2 * h], hu[2 * h :]
+        score, value = (_room(k, (LENGTH, size), x.dtype) for k in ("score", "value"))
+        a, bias = np.concatenate([p["A"].T, p["w"][None]]), p["a"][:, None]
         for k, d in enumerate("fb"):
             u, state = np.ascontiguousarray(p[f"U{d}"].T) * half, np.zeros((h, size), x.dtype)
             for t in range(LENGTH) if d == "f" else range(LENGTH - 1, -1, -1):
@@ -160,20 +189,18 @@ class Network:
                 new *= gates[:h]
                 new *= 0.5
                 state = np.add(state, new, out=nxt)
-        score, value, e = np.empty((LENGTH, size), x.dtype), np.empty((LENGTH, size), x.dtype), np.empty((h + 1, size), x.dtype)
-        a, bias = np.concatenate([p["A"].T, p["w"][None]]), p["a"][:, None]
-        for t in range(LENGTH):
-            np.matmul(a, states[t], out=e)
-            value[t] = e[h]
-            e[:h] += bias
-            np.matmul(p["u"], np.tanh(e[:h], out=e[:h]), out=score[t])
+                if d == "b":
+                    np.matmul(a, states[t], out=e)
+                    value[t] = e[h]
+                    e[:h] += bias
+                    np.matmul(p["u"], np.tanh(e[:h], out=e[:h]), out=score[t])
         score -= score.max(axis=0)
         np.exp(score, out=score)
         value *= score
-        return _sigmoid(value.sum(axis=0) / score.sum(axis=0) + p["c"]).reshape(runs, LANES).T.ravel()[:n]
+        return (value.sum(axis=0) / score.sum(axis=0) + p["c"]).reshape(runs, LANES).T.ravel()[:n]
 
     def score(self, terms: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Probabilities of whole windows, rows of ``at`` hold rows of ``terms``, as ``forward`` has them."""
+        """Log odds of whole windows, rows of ``at`` hold rows of ``terms``, of the probabilities ``forward`` has."""
         p, h, n = self.p, HIDDEN, len(at)
         # 1 - z, r and (1 - new) / 2 are all 1 / (1 + exp(y)) of y = the update gate's input, minus
         # the reset gate's, twice the candidate's.
@@ -203,7 +230,7 @@ class Network:
                         score[t] = u_e.sum() - 2 * (u_e @ _inverse(e))
                         value[t] = p["w"][:h] @ states[t] + p["w"][h:] @ state
         weight = np.exp(score - score.max(axis=0))
-        return _sigmoid((weight * value).sum(axis=0) / weight.sum(axis=0) + p["c"])
+        return (weight * value).sum(axis=0) / weight.sum(axis=0) + p["c"]
 
     def gradients(self, x: np.ndarray, rows: list[int], grams: tuple[np.ndarray, np.ndarray], at: np.ndarray, y: np.ndarray, weights: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of the weighted mean cross entropy."""
@@ -266,10 +293,10 @@ def _highest(net: Network, terms: np.ndarray, at: list[np.ndarray]) -> tuple[np.
         p = np.concatenate([net.slide(terms, line[k : k + SLIDE + LENGTH - 1]) for k in range(0, len(line) - LENGTH + 1, SLIDE)])
         for i in long:
             own = p[first : first + len(at[i]) - LENGTH + 1]
-            near.append(first + np.flatnonzero(own >= own.max() - CLOSE))
+            near.append(first + np.flatnonzero(_sigmoid(own + CLOSE) >= _sigmoid(own.max() - CLOSE)))  # also what rounds to the same
             first += len(at[i])
         places = np.concatenate(near)
-        p = np.concatenate([net.score(terms, line[places[k : k + 1024, None] + np.arange(LENGTH)]) for k in range(0, len(places), 1024)])
+        p = _sigmoid(np.concatenate([net.score(terms, line[places[k : k + 1024, None] + np.arange(LENGTH)]) for k in range(0, len(places), 1024)]))
         first = used = 0
         for i, some in zip(long, near, strict=True):
             own = p[used : used + len(some)]
@@ -328,62 +355,56 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Network
 
 
 class Scorer:
-    """Scores of whole texts; the input terms of distinct words are kept, ``MEMO`` at most."""
+    """Scores of whole texts, ``MEMO`` words or a longer text at a time."""
 
     def __init__(self, model: Network | float):
         self.model = model
-        self._forget()
-        self.empty = model if isinstance(model, float) else float(model.forward(self.terms, np.full((1, LENGTH), -1))[0])
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.forms: dict[str, int] = {}  # by the plain word, which several words share
-        self.terms = np.zeros((4097, 6 * HIDDEN), np.float32)  # the last row is for padding
+        if not isinstance(model, float):
+            self.words = pa.array(model.vocabulary, pa.large_string())
+            self.rows = np.array([*model.vocabulary.values(), 0])
+            self.terms = model.project(model.features([])[0])
+            self.empty = float(model.forward(self.terms, np.full((1, LENGTH), -1))[0])
 
     def numbers(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """Rows of ``terms`` for the words of each text."""
-        coded = pa.array([w for t in texts for w in t], pa.large_string()).dictionary_encode()
-        rows = self._rows(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        return np.split(rows, np.cumsum([len(t) for t in texts])[:-1])
-
-    def _rows(self, words: list[str]) -> np.ndarray:
-        """Rows of ``terms`` for distinct words."""
-        missing = [w for w in words if w not in self.known]
-        if len(self.known) + len(missing) > MEMO and self.known:
-            self._forget()
-            missing = words
-        forms, used = list(map(plain, missing)), len(self.forms)
-        new = list(dict.fromkeys(f for f in forms if f not in self.forms))
-        end = used + len(new)
-        if end >= len(self.terms):
-            wider = np.zeros((end + end // 2 + 1, self.terms.shape[1]), self.terms.dtype)
-            wider[:used] = self.terms[:used]
-            self.terms = wider
-        if new:
-            self.terms[used:end] = self.model.project(self.model.features(new)[0])[:-1]
-        self.forms.update(zip(new, range(used, end), strict=True))
-        self.known.update(zip(missing, map(self.forms.__getitem__, forms), strict=True))
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-
-    def scores(self, texts: list[str | None], at_once: int = 200_000) -> np.ndarray:
+        """Rows of ``terms`` for the words of each text; the terms are those of these texts alone."""
+        return self._numbers(pa.array([w for t in texts for w in t], pa.large_string()), np.array([len(t) for t in texts]))
+
+    def _numbers(self, words: pa.Array, sizes: np.ndarray) -> list[np.ndarray]:
+        coded = pc.ascii_trim(words, characters=string.punctuation).dictionary_encode()
+        forms = coded.dictionary
+        odd = pc.invert(pc.string_is_ascii(forms))  # ``plain`` has more rules for other letters
+        forms = pc.replace_with_mask(pc.ascii_lower(forms), odd, pa.array([w.lower() for w in forms.filter(odd).to_pylist()], forms.type)).dictionary_encode()
+        begin, end, between = (pa.scalar(m, words.type) for m in ("<<", ">", ""))
+        marked = pc.binary_join_element_wise(begin, forms.dictionary, end, between)
+        ends = np.frombuffer(marked.buffers()[1], np.int64)[1 : len(marked) + 1]
+        raw = np.frombuffer(marked.buffers()[2], np.uint8)[: ends[-1]] if len(ends) else np.zeros(0, np.uint8)
+        known = pc.index_in(forms.dictionary, value_set=self.words).fill_null(len(self.words)).to_numpy()
+        self.terms = self.model.project(self.model.inputs(self.rows[known], *_grams(raw, ends)))
+        return np.split(forms.indices.to_numpy()[coded.indices.to_numpy()].astype(np.int64), np.cumsum(sizes)[:-1])
+
+    def scores(self, texts: list[str | None], at_once: int = 6 * MEMO) -> np.ndarray:
+        """``at_once``: characters, some six to a word."""
         if isinstance(self.model, float):
             return np.full(len(texts), self.model)
-        out, group, size = np.full(len(texts), self.empty), [], 0
-        for i, t in enumerate(texts):
-            words = words_of(t)
-            if words:
-                group.append((i, words))
-                size += len(words)
-            if size > at_once:
-                self._score(group, out)
-                group, size = [], 0
-        self._score(group, out)
+        out = np.full(len(texts), self.empty)
+        ends = np.cumsum([len(t or "") for t in texts], dtype=np.int64)
+        first = 0
+        while first < len(texts):
+            last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + at_once, side="right")))
+            self._score(pa.array([t or "" for t in texts[first:last]], pa.large_string()), out[first:last])
+            first = last
         return out
 
-    def _score(self, group: list, out: np.ndarray) -> None:
-        if group:
-            at = self.numbers([w for _, w in group])  # may replace the terms
-            out[[i for i, _ in group]] = _highest(self.model, self.terms, at)[0]
+    def _score(self, texts: pa.Array, out: np.ndarray) -> None:
+        split = pc.utf8_split_whitespace(texts)  # the same characters as for ``words_of``, with empty words at the ends
+        words = split.flatten()
+        full = pc.not_equal(pc.binary_length(words), 0)
+        before = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+        sizes = np.diff(before[split.offsets.to_numpy()])
+        some = np.flatnonzero(sizes)
+        if len(some):
+            at = self._numbers(words.filter(full), sizes[some])  # replaces the terms
+            out[some] = _highest(self.model, self.terms, at)[0]
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) -> list[tuple[str, int]]:

@@ -82,6 +82,41 @@ def test_a_small_memory_of_words_changes_no_score(monkeypatch):
     assert len(tox.Scorer(net).numbers([["w1", "W1", "w1,", '"w1"']])) == 1 and len(set(tox.Scorer(net).numbers([["w1", "W1,", '"w1"']])[0])) == 1
 
 
+def test_few_windows_are_scored_anew_where_all_are_clean(monkeypatch):
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(400)]
+    net = tox.Network({w: i + 1 for i, w in enumerate(words)}, rng.standard_normal(400))
+    net.p["c"] -= 11  # every window has less than CLOSE, so they lie close to each other
+    texts = [" ".join(rng.choice(words, n)) for n in (40, 700, 3000)]
+    seen, scored = [], tox.Network.score
+    monkeypatch.setattr(tox.Network, "score", lambda self, terms, at: seen.append(len(at)) or scored(self, terms, at))
+    got = tox.Scorer(net).scores(texts)
+    assert got.max() < 1e-4 and sum(seen) < 100
+    for text, score in zip(texts, got, strict=True):
+        w = text.split()
+        want = net.forward(net.project(net.features(w)[0]), np.arange(len(w) - 31)[:, None] + np.arange(32))
+        assert abs(score / want.max() - 1) < 1e-4
+
+
+def test_windows_that_round_to_the_highest_are_near():
+    net = tox.Network({"w": 1, "v": 2}, np.array([3.0, -3.0]))
+    net.p["c"] += 40  # every probability rounds to 1: the first window counts, as it always did
+    w = ["v"] * 60 + ["w"] * 60
+    names, at = tox._numbered([w])
+    out, begin = tox._highest(net, net.project(net.features(names)[0]), at)
+    assert out[0] == 1 and begin[0] == 0
+
+
+def test_words_are_split_and_plain_as_in_training():
+    odd = ["a\x1cb", "\u2003İstanbul, ΟΔΥΣΣΕΥΣ.", "«Été»", "...", " ", "", "x\u0085y\u00a0\"Z!\"", "ab><<cd ab ><<cd", "日本。 日本"]
+    net = tox.Network({"a": 1, "istanbul": 2, "été": 3, "οδυσσευς": 4, "z": 5, "": 6}, np.arange(6.0))
+    got = tox.Scorer(net).scores(odd)
+    for text, score in zip(odd, got, strict=True):
+        w = [tox.plain(x) for x in tox.words_of(text)]
+        at = np.array([[*range(len(w)), *[-1] * (32 - len(w))]])
+        assert abs(score - net.forward(net.project(net.features(w)[0]), at)[0]) < 1e-6, text
+
+
 def test_trigrams_of_words_do_not_cross():
     words = ["", "a", "abc", "déjà", "toolong"]
     flat, counts = tox.trigrams(words)
