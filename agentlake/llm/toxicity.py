@@ -175,20 +175,27 @@ class Network:
         score, value = (_room(k, (LENGTH, size), x.dtype) for k in ("score", "value"))
         a, bias = np.concatenate([p["A"].T, p["w"][None]]), p["a"][:, None]
         for k, d in enumerate("fb"):
-            u, state = np.ascontiguousarray(p[f"U{d}"].T) * half, np.zeros((h, size), x.dtype)
+            u, state = np.ascontiguousarray(p[f"U{d}"].T) * half, None
             for t in range(LENGTH) if d == "f" else range(LENGTH - 1, -1, -1):
                 step, nxt = x[k, :, LANES * t : LANES * t + size], states[t, k * h : (k + 1) * h]
-                np.matmul(u, state, out=hu)
-                gates += step[: 2 * h]
-                np.tanh(gates, out=gates)
-                gates += 1
-                new *= gates[h:]
-                new += step[2 * h :]
-                np.tanh(new, out=new)
-                new -= state
-                new *= gates[:h]
-                new *= 0.5
-                state = np.add(state, new, out=nxt)
+                if state is None:  # zeros: no reset gate
+                    np.tanh(step[:h], out=gates[:h])
+                    gates[:h] += 1
+                    np.tanh(step[2 * h :], out=new)
+                    new *= gates[:h]
+                    state = np.multiply(new, 0.5, out=nxt)
+                else:
+                    np.matmul(u, state, out=hu)
+                    gates += step[: 2 * h]
+                    np.tanh(gates, out=gates)
+                    gates += 1
+                    new *= gates[h:]
+                    new += step[2 * h :]
+                    np.tanh(new, out=new)
+                    new -= state
+                    new *= gates[:h]
+                    new *= 0.5
+                    state = np.add(state, new, out=nxt)
                 if d == "b":
                     np.matmul(a, states[t], out=e)
                     value[t] = e[h]
@@ -334,9 +341,10 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Network
     rng = np.random.default_rng(SEED)
     odds = net.p["word"][[vocabulary.get(w, 0) for w in words], 0]
     begins = np.array([_suspicious(odds[a]) for a in at])  # to begin with: the most suspicious words
+    _, rows_of_all, grams_of_all = net.features(words)
     for epoch in range(epochs):
         if epoch:
-            begins = _highest(net, net.project(net.features(words)[0]), at)[1]
+            begins = _highest(net, net.project(net.inputs(rows_of_all, *grams_of_all)), at)[1]
         shuffled = rng.permutation(len(y))
         for i in range(0, len(y), BATCH):
             pick = shuffled[i : i + BATCH]
@@ -373,7 +381,7 @@ class Scorer:
         coded = pc.ascii_trim(words, characters=string.punctuation).dictionary_encode()
         forms = coded.dictionary
         odd = pc.invert(pc.string_is_ascii(forms))  # ``plain`` has more rules for other letters
-        forms = pc.replace_with_mask(pc.ascii_lower(forms), odd, pa.array([w.lower() for w in forms.filter(odd).to_pylist()], forms.type)).dictionary_encode()
+        forms = pc.replace_with_mask(pc.ascii_lower(forms), odd, pa.array([w.lower() for w in forms.filter(odd).to_numpy(zero_copy_only=False)], forms.type)).dictionary_encode()
         begin, end, between = (pa.scalar(m, words.type) for m in ("<<", ">", ""))
         marked = pc.binary_join_element_wise(begin, forms.dictionary, end, between)
         ends = np.frombuffer(marked.buffers()[1], np.int64)[1 : len(marked) + 1]
