@@ -32,8 +32,8 @@ LANES, CLOSE = 16, 1e-3
 #: Bound of the training sample (rows of each class), of the learned vocabulary, sizes of the network.
 SAMPLE, VOCABULARY, WORD_DIM, CHAR_DIM, BUCKETS, HIDDEN = (900, 2200), 12_000, 8, 8, 512, 8
 EPOCHS, BATCH, SEED = 8, 96, 7
-#: Words that are numbered and scored together; their distinct plain forms have terms meanwhile.
-MEMO = 300_000
+#: Words that are numbered and scored together, their plain forms have terms meanwhile; texts split together.
+MEMO, SPLIT = 200_000, 256
 
 
 def words_of(text: str | None) -> list[str]:
@@ -390,29 +390,41 @@ class Scorer:
         self.terms = self.model.project(self.model.inputs(self.rows[known], *_grams(raw, ends)))
         return np.split(forms.indices.to_numpy()[coded.indices.to_numpy()].astype(np.int64), np.cumsum(sizes)[:-1])
 
-    def scores(self, texts: list[str | None], at_once: int = 6 * MEMO) -> np.ndarray:
-        """``at_once``: characters, some six to a word."""
+    def scores(self, texts: list[str | None], at_once: int = MEMO) -> np.ndarray:
         if isinstance(self.model, float):
             return np.full(len(texts), self.model)
-        out = np.full(len(texts), self.empty)
-        ends = np.cumsum([len(t or "") for t in texts], dtype=np.int64)
-        first = 0
-        while first < len(texts):
-            last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + at_once, side="right")))
-            self._score(pa.array([t or "" for t in texts[first:last]], pa.large_string()), out[first:last])
-            first = last
+        out, group, size = np.full(len(texts), self.empty), [], 0
+        for first in range(0, len(texts), SPLIT):
+            words, counts = _split(texts[first : first + SPLIT])
+            ends, k, done = np.cumsum(counts), 0, 0
+            while k < len(counts):  # up to the text that makes the group larger than at_once
+                last = min(int(np.searchsorted(ends, done + at_once - size, side="right")) + 1, len(counts))
+                n = int(ends[last - 1]) - done
+                group.append((np.arange(first + k, first + last), words.slice(done, n), counts[k:last]))
+                size, done, k = size + n, done + n, last
+                if size > at_once:
+                    self._score(group, out)
+                    group, size = [], 0
+        self._score(group, out)
         return out
 
-    def _score(self, texts: pa.Array, out: np.ndarray) -> None:
-        split = pc.utf8_split_whitespace(texts)  # the same characters as for ``words_of``, with empty words at the ends
-        words = split.flatten()
-        full = pc.not_equal(pc.binary_length(words), 0)
-        before = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
-        sizes = np.diff(before[split.offsets.to_numpy()])
-        some = np.flatnonzero(sizes)
-        if len(some):
-            at = self._numbers(words.filter(full), sizes[some])  # replaces the terms
-            out[some] = _highest(self.model, self.terms, at)[0]
+    def _score(self, group: list, out: np.ndarray) -> None:
+        if group:
+            index, words, counts = zip(*group, strict=True)
+            counts = np.concatenate(counts)
+            some = np.flatnonzero(counts)
+            if len(some):
+                at = self._numbers(pa.concat_arrays(words), counts[some])  # replaces the terms
+                out[np.concatenate(index)[some]] = _highest(self.model, self.terms, at)[0]
+
+
+def _split(texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, at the same characters as ``words_of`` has them, and how many each has."""
+    split = pc.utf8_split_whitespace(pa.array([t or "" for t in texts], pa.large_string()))
+    words = split.flatten()
+    full = pc.not_equal(pc.binary_length(words), 0)  # blanks at the ends give empty words
+    before = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    return words.filter(full), np.diff(before[split.offsets.to_numpy()])
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) -> list[tuple[str, int]]:
